@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomline.llm.format_dups import collapse, headline_groups
 from loomline.llm.near_dups import near_duplicate_groups, near_duplicate_pairs
+from loomline.llm.survivors import resolve, retained_values, survivors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +18,34 @@ def _story():
     return F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("snippet", F.lit("")))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return headline_groups(_table(spark, d, "raw_news")).where("id > first_id").select("first_id", "id")
+
+
+def p3_copies(spark: SparkSession, d: str) -> DataFrame:
+    return collapse(_table(spark, d, "raw_news"))
+
+
+_FIELDS = ["title", "source", "publisher"]
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    raw = _table(spark, d, "raw_news")
+    return resolve(raw, headline_groups(raw), _FIELDS, "source")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _resolved(spark, d).where("best AND n_values > 1").select("first_id", "field_name")
+
+
+def p6_survivors(spark: SparkSession, d: str) -> DataFrame:
+    return survivors(_resolved(spark, d), _FIELDS)
+
+
+def p6_values(spark: SparkSession, d: str) -> DataFrame:
+    return retained_values(_resolved(spark, d))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_pairs(_table(spark, d, "raw_news"), "id", _story())
 
@@ -24,6 +54,14 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, d, "raw_news"), "id", _story())
 
 
-QUERIES = {"p7_found": p7_found, "p7_groups": p7_groups}
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_copies": p3_copies,
+    "p6_found": p6_found,
+    "p6_survivors": p6_survivors,
+    "p6_values": p6_values,
+    "p7_found": p7_found,
+    "p7_groups": p7_groups,
+}
 
 ORACLE: dict[str, str] = {}
