@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomline.llm.batches import FingerprintStore, admit
 from loomline.llm.format_dups import collapse, headline_groups
 from loomline.llm.near_dups import near_duplicate_groups, near_duplicate_pairs
 from loomline.llm.survivors import resolve, retained_values, survivors
@@ -26,6 +27,18 @@ def p3_copies(spark: SparkSession, d: str) -> DataFrame:
     return collapse(_table(spark, d, "raw_news"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """The first half of the batches is the initial load, the rest is admitted against the store."""
+    raw = _table(spark, d, "raw_news").select("id", "created_at", "url", "title")
+    first, last = raw.agg(F.min("created_at"), F.max("created_at")).first()
+    store, listed = FingerprintStore(spark), []
+    middle = first + (last - first) / 2 if first else None
+    early = F.col("created_at").isNull() | (F.col("created_at") <= F.lit(middle))
+    for part in (raw.where(early), raw.where(~early)) if first else (raw,):
+        listed.append(admit(store, part).where("state = 'known'").select("id"))
+    return listed[0] if len(listed) == 1 else listed[0].unionByName(listed[1])
+
+
 _FIELDS = ["title", "source", "publisher"]
 
 
@@ -57,6 +70,7 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p3_found": p3_found,
     "p3_copies": p3_copies,
+    "p5_found": p5_found,
     "p6_found": p6_found,
     "p6_survivors": p6_survivors,
     "p6_values": p6_values,
