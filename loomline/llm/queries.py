@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomline.llm.batches import FingerprintStore, admit
 from loomline.llm.format_dups import collapse, headline_groups
+from loomline.llm.garbled import garbled_fields
 from loomline.llm.near_dups import near_duplicate_groups, near_duplicate_pairs
 from loomline.llm.survivors import resolve, retained_values, survivors
 
@@ -19,6 +20,14 @@ def _story():
     return F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("snippet", F.lit("")))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return garbled_fields(_table(spark, d, "raw_news"), ["title", "snippet"]).select("id", "field_name")
+
+
+def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return garbled_fields(_table(spark, d, "raw_news"), ["title", "snippet"])
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return headline_groups(_table(spark, d, "raw_news")).where("id > first_id").select("first_id", "id")
 
@@ -68,6 +77,8 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_repaired": p2_repaired,
     "p3_found": p3_found,
     "p3_copies": p3_copies,
     "p5_found": p5_found,
