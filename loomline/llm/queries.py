@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from loomline.llm.batches import FingerprintStore, admit
 from loomline.llm.format_dups import collapse, headline_groups
 from loomline.llm.garbled import garbled_fields
+from loomline.llm.mixing import mix, share_report
 from loomline.llm.near_dups import near_duplicate_groups, near_duplicate_pairs
+from loomline.llm.packing import fill_report, pack
+from loomline.llm.subjects import calibration, composition, document_subjects
 from loomline.llm.survivors import resolve, retained_values, survivors
+from loomline.llm.tokens import count_tokens
+from loomline.runtime import stage_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +81,57 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, d, "raw_news"), "id", _story())
 
 
+def _packed(spark: SparkSession, d: str, capacity: int) -> DataFrame:
+    return pack(stage_table(count_tokens(_table(spark, d, "documents"), ["doc_id"]), "sizes"), capacity)
+
+
+def p8_pack_2048(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d, 2048)
+
+
+def p8_pack_8192(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d, 8192)
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    sizes = stage_table(count_tokens(_table(spark, d, "documents"), ["doc_id"]), "sizes")
+    return fill_report(pack(sizes, 2048), 2048).unionByName(fill_report(pack(sizes, 8192), 8192))
+
+
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return stage_table(count_tokens(_table(spark, d, "documents"), ["doc_id", "source"]), "sizes")
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Shares come first: the total is the largest at which every source with documents reaches its target."""
+    return mix(_sizes(spark, d), _table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    sizes, targets = _sizes(spark, d), _table(spark, d, "mix_targets")
+    return share_report(mix(sizes, targets), sizes, targets)
+
+
+def p9_shares_by_volume(spark: SparkSession, d: str) -> DataFrame:
+    """Volume comes first: as many tokens as the target sources have; small sources fall short and are reported."""
+    sizes, targets = _sizes(spark, d), _table(spark, d, "mix_targets")
+    total = sizes.join(F.broadcast(targets.select("source")), "source", "left_semi").agg(F.sum("n_tokens")).first()[0]
+    return share_report(mix(sizes, targets, total), sizes, targets)
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return document_subjects(_table(spark, d, "documents")).select("doc_id", "subject")
+
+
+def p10_composition(spark: SparkSession, d: str) -> DataFrame:
+    documents = _table(spark, d, "documents")
+    return composition(documents, document_subjects(documents))
+
+
+def p10_calibration(spark: SparkSession, d: str) -> DataFrame:
+    return calibration(_table(spark, d, "documents"), _table(spark, d, "doc_labels"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_repaired": p2_repaired,
@@ -87,6 +143,15 @@ QUERIES = {
     "p6_values": p6_values,
     "p7_found": p7_found,
     "p7_groups": p7_groups,
+    "p8_pack_2048": p8_pack_2048,
+    "p8_pack_8192": p8_pack_8192,
+    "p8_fill": p8_fill,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p9_shares_by_volume": p9_shares_by_volume,
+    "p10_found": p10_found,
+    "p10_composition": p10_composition,
+    "p10_calibration": p10_calibration,
 }
 
 ORACLE: dict[str, str] = {}
