@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm.wordsets import candidate_pairs, graded_words, set_node, sketch_entries, verify_pairs, word_hashes
+from loomline.llm.wordsets import candidate_pairs, graded_words, sketch_entries, verify_pairs, with_words
 from loomline.runtime import shared_folder, shuffle_width, stage_table
 
 OVERLAP = 0.8
@@ -195,11 +195,11 @@ def admit(store: FingerprintStore, records: DataFrame, overlap: float = OVERLAP)
     not exclude each other. A row without address and without a word in its title is always new. A NULL
     ``created_at`` counts as no batch: such rows match nothing and come out as new. Other columns are ignored.
     """
-    hashed = word_hashes(F.col("title"))
-    base = records.select(F.col("id"), F.col("created_at").cast("timestamp").alias("batch"), F.xxhash64(address_key(F.col("url"))).alias("u"), address_key(F.col("url")).isNotNull().alias("has"), hashed.alias("words"))
-    rows = base.select("id", "batch", F.when(F.col("has"), F.col("u")).alias("u"), F.when(F.size("words") > 0, set_node(F.col("words"))).alias("node"), "words")
+    address = address_key(F.col("url"))
+    base = records.select("id", F.col("created_at").cast("timestamp").alias("batch"), F.when(address.isNotNull(), F.xxhash64(address)).alias("u"), "title")
+    rows = with_words(base, "title", ["id", "batch", "u"])
     sets = stage_table(rows.where("node IS NOT NULL").groupBy("node").agg(F.first("words").alias("words")), "sets")
-    rows = stage_table(rows.drop("words"), "rows")
+    rows = stage_table(with_words(base, "title", ["id", "batch", "u"], words=False).select("id", "node", "u", "batch"), "rows")
     if store.grades is None:
         store.grades = graded_words(sets)
     entries = stage_table(sketch_entries(sets, overlap, store.grades), "entries")

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.wordsets import candidate_pairs, distinct_sets, graded_words, set_node, sketch_entries, verify_pairs, word_hashes
+from loomline.llm.wordsets import candidate_pairs, distinct_sets, graded_words, sketch_entries, verify_pairs, with_words
 from loomline.runtime import stage_table
 
 THRESHOLD = 0.65
 
 
-def word_sets(records: DataFrame, id_column: str, text: Column) -> DataFrame:
-    """``id, node, words``; rows without a word are left out, they resemble nothing."""
-    hashed = records.select(F.col(id_column).cast("bigint").alias("id"), word_hashes(text).alias("words"))
-    return hashed.where(F.size("words") > 0).select("id", set_node(F.col("words")).alias("node"), "words")
+def word_sets(records: DataFrame, id_column: str, text: Column, words: bool = True) -> DataFrame:
+    """``id, node`` and ``words``; rows without a word are left out, they resemble nothing."""
+    return with_words(records.select(F.col(id_column).cast("bigint").alias("id"), text.alias("text")), "text", ["id"], words).where("node IS NOT NULL")
 
 
 def similar_nodes(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -54,7 +53,7 @@ def near_duplicate_pairs(records: DataFrame, id_column: str, text: Column, thres
     taken whole. An empty table gives no rows; other columns are ignored.
     """
     sets = word_sets(records, id_column, text)
-    members = stage_table(sets.select("node", "id"), "members")
+    members = stage_table(word_sets(records, id_column, text, words=False).select("node", "id"), "members")
     similar = similar_nodes(sets, threshold)
     at = lambda x, name: members.select(F.col("node").alias(x), F.col("id").alias(name))
     across = similar.select("a", "b").join(at("a", "i"), "a").join(at("b", "j"), "b").select("i", "j")
@@ -72,7 +71,7 @@ def near_duplicate_groups(records: DataFrame, id_column: str, text: Column, thre
     n_links: similar classes with other words.
     """
     sets = word_sets(records, id_column, text)
-    members = stage_table(sets.select("node", "id"), "members")
+    members = stage_table(word_sets(records, id_column, text, words=False).select("node", "id"), "members")
     classes = members.groupBy("node").agg(F.min("id").alias("class_id"))
     named = lambda x: classes.select(F.col("node").alias(x), F.col("class_id").alias(f"c{x}"))
     pairs = stage_table(similar_nodes(sets, threshold).join(named("a"), "a").join(named("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")), "links")

@@ -13,14 +13,18 @@ every pair of blocks is compared once, each in a task of bounded size.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomline.runtime import shuffle_width
+from loomline.runtime import shuffle_width, stage_table
 
 #: Words that get a grade of their own, at most; the table of them is broadcast (16 bytes each).
 GRADED = 1 << 17
@@ -29,34 +33,83 @@ LIST_BLOCK = 8192
 REMEMBERED = 200_000
 #: Rows of a block compared at once: a matrix of that many squared bits counts is in memory.
 TILE = 1024
+#: Lists up to this length are compared together with others.
+SMALL = 48
 
 _ENTRY = "key bigint, g int, h int, side int, node bigint, n int, pos int, s1 bigint, s2 bigint, old boolean"
 
 
-def word_hashes(text: Column) -> Column:
-    """Sorted distinct 64-bit hashes of the text's words (longest runs of letters and digits, in lower case); empty for NULL."""
-    spaced = F.trim(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{N}]+", " ")))
-    words = F.filter(F.array_distinct(F.split(spaced, " ")), lambda w: w != "")
-    return F.array_sort(F.transform(words, lambda w: F.xxhash64(w)))
+_WORD = re.compile(r"[^\W_]+")
 
 
-def set_node(hashes: Column) -> Column:
-    """One number for the whole set; equal sets have equal numbers."""
-    return F.xxhash64(hashes)
+class _Hashes(dict):
+    """64-bit hashes of words; at most ``REMEMBERED`` are kept."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (values ^ (values >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+        return (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+
+
+def _words(text: str | None) -> set[str]:
+    if not text:
+        return set()
+    # the capital dotted I is the one letter whose lower case would end a word
+    return {w.lower() for w in _WORD.findall(text)} if "\u0130" in text else set(_WORD.findall(text.lower()))
+
+
+def with_words(records: DataFrame, text: str, keep: list[str], words: bool = True) -> DataFrame:
+    """``keep``, ``node`` and ``words`` of the column ``text``.
+
+    words: distinct 64-bit hashes of the text's words (longest runs of letters and digits, in lower case). node: one
+    number for the set, NULL if it is empty; equal sets have equal numbers.
+    """
+    schema = T.StructType([*(records.schema[c] for c in keep), T.StructField("node", T.LongType()), *([T.StructField("words", T.ArrayType(T.LongType(), False))] if words else [])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            sets = [_words(t) for t in batch.column(len(keep)).to_pylist()]
+            n = np.fromiter(map(len, sets), np.int64, len(sets))
+            flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(sets)), np.uint64, int(n.sum()))
+            start = np.concatenate([[0], np.cumsum(n)])
+            node = np.zeros(len(n), np.uint64)
+            if len(flat):
+                node[n > 0] = np.add.reduceat(_mixed(flat), start[:-1][n > 0])
+            out = [*batch.columns[: len(keep)], pa.array(node.view(np.int64), mask=n == 0)]
+            if words:
+                out.append(pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(flat.view(np.int64))))
+            yield pa.RecordBatch.from_arrays(out, [*keep, "node", *(["words"] if words else [])])
+
+    return records.select(*keep, text).mapInArrow(run, schema)
+
+
+def _batch_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        w, c = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(c)], ["w", "c"])
 
 
 def graded_words(sets: DataFrame, graded: int = GRADED) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent words (``words array<bigint>``, counted over all rows) as sorted hashes and their counts."""
-    counts = sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("c"))
-    bins = counts.groupBy(F.floor(F.log2("c") * 4).cast("int").alias("b")).agg(F.count("*").alias("n")).collect()  # at most 4 x 64 rows
+    counts = stage_table(sets.select("words").mapInArrow(_batch_counts, "w bigint, c bigint").groupBy("w").agg(F.sum("c").alias("c")).where("c > 3"), "counts")
+    grade = F.floor(F.log2("c") * 4).cast("int")
+    bins = counts.groupBy(grade.alias("b")).agg(F.count("*").alias("n")).collect()  # at most 4 x 64 rows
     room, least = graded, None
     for r in sorted(bins, key=lambda r: -r["b"]):
-        if r["n"] > room or r["b"] < 8:
+        if r["n"] > room:
             break
         room, least = room - r["n"], r["b"]
     if least is None:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    rows = counts.where(F.floor(F.log2("c") * 4).cast("int") >= least).toArrow()
+    rows = counts.where(grade >= least).toArrow()
     w, c = rows["w"].to_numpy(), rows["c"].to_numpy()
     order = np.argsort(w)
     return w[order], c[order]
@@ -126,7 +179,7 @@ def _list_pairs(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator
     def compare(cols: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         _, g, h, side, node, n, pos, s1, s2, old = cols
         x = pos - share * n  # two sets can meet here for the first time only if their sum is 0 or less
-        _, one = np.unique(np.stack([side, node]), axis=1, return_index=True)
+        _, one = np.unique(node, return_index=True)
         one = one[np.argsort(x[one], kind="stable")]
         side, node, n, x, s1, s2, old = (c[one] for c in (side, node, n, x, s1, s2, old))
         s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
@@ -150,6 +203,23 @@ def _list_pairs(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator
                 if fine.any():
                     yield node[p[fine]], node[q[fine]]
 
+    def small(cols: tuple[np.ndarray, ...], starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of all lists of at most ``SMALL`` entries at once."""
+        _, g, h, side, node, n, pos, s1, s2, old = cols
+        at = np.concatenate([[0], np.cumsum(ends - starts)])
+        index = np.arange(at[-1]) + np.repeat(starts - at[:-1], ends - starts)
+        later = np.repeat(ends, ends - starts) - index - 1
+        p = np.repeat(index, later)
+        before = np.concatenate([[0], np.cumsum(later)])[:-1]
+        q = p + 1 + np.arange(len(p)) - np.repeat(before, later)
+        x = pos - share * n
+        s1, s2 = s1.view(np.uint64), s2.view(np.uint64)
+        ok = (x[p] + x[q] <= 1e-9) & (node[p] != node[q])
+        p, q = p[ok], q[ok]
+        ok = np.bitwise_count(s1[p] ^ s1[q]).astype(np.int64) + np.bitwise_count(s2[p] ^ s2[q]) <= share * (n[p] + n[q]) + 1e-9
+        ok &= ~(old[p] & old[q]) & (np.minimum(n[p], n[q]) >= threshold * np.maximum(n[p], n[q]) - 1e-9) & ((g[p] == h[p]) | (side[p] != side[q]))
+        return node[p[ok]], node[q[ok]]
+
     def close() -> Iterator[pa.RecordBatch]:
         if not held:
             return
@@ -167,16 +237,21 @@ def _list_pairs(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator
         edges = np.concatenate([[0], cut, [batch.num_rows]])
         if held and tuple(c[-1] for c in held[-1][:3]) != tuple(c[0] for c in cols[:3]):
             yield from close()
-        for k in range(len(edges) - 1):
-            a, b = edges[k], edges[k + 1]
-            last = k == len(edges) - 2
-            if last or k == 0:
-                held.append(tuple(c[a:b] for c in cols))
-                if not last:
-                    yield from close()
-            elif b - a > 1:
-                for p, q in compare(tuple(c[a:b] for c in cols)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+        held.append(tuple(c[: edges[1]] for c in cols))
+        if len(edges) == 2:
+            continue
+        yield from close()
+        starts, ends = edges[1:-2], edges[2:-1]
+        size = ends - starts
+        few = (size > 1) & (size <= SMALL)
+        if few.any():
+            p, q = small(cols, starts[few], ends[few])
+            if len(p):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+        for k in np.flatnonzero(size > SMALL):
+            for p, q in compare(tuple(c[starts[k] : ends[k]] for c in cols)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+        held.append(tuple(c[edges[-2] :] for c in cols))
     yield from close()
 
 
