@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from loomline import dims
 
@@ -120,7 +121,7 @@ def escape_html(text: Column | str) -> Column:
     return F.replace(F.replace(F.replace(_col(text), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in texts:
         yield s.map(lambda t: html.unescape(t) if t is not None else None)
