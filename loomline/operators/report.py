@@ -40,7 +40,7 @@ def joined_columns(rows: DataFrame, key: str, order: list[str], columns: list[st
     """Per key one newline-joined string per column, all in the same order."""
     items = F.array_sort(F.collect_list(F.struct(*order, *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_{c}") for c in columns))))
     grouped = rows.groupBy(key).agg(items.alias("_i"))
-    return grouped.select(key, *(F.array_join(F.transform("_i", lambda x, c=f"_{c}": x[c]), "\n").alias(c) for c in columns))
+    return grouped.select(key, *(F.array_join(F.col("_i").getField(f"_{c}"), "\n").alias(c) for c in columns))
 
 
 def split_columns(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ def source_totals(rows: DataFrame) -> DataFrame:
 
 def source_pivot(rows: DataFrame, day: Column, known: list[str]) -> DataFrame:
     """One row per day with a column for each known source; 0 where it has none."""
-    return rows.select(day.alias("dt"), "source").groupBy("dt").pivot("source", known).agg(F.count("*")).na.fill(0)
+    return rows.select(day.alias("dt"), "source").groupBy("dt").pivot("source", known).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def decision_day(processed: DataFrame) -> DataFrame:
