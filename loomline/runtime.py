@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +53,25 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def plain_unions(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside take no partitioning from unions.
+
+    Spark 4.1 derives one from children that look alike; once adaptive execution has coalesced them differently, a join above fails
+    ("PartitioningCollection requires all of its partitionings have the same numPartitions").
+    """
+    name = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(name, None)
+    if before is None:
+        yield
+        return
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partitions that an explicit repartition should have."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
