@@ -53,7 +53,7 @@ def collect(entries: DataFrame, spec: SourceSpec, as_of: datetime) -> DataFrame:
         rows = spec.hook(rows)
     rows = first_url(rows)
     if spec.cap:
-        rows = rows.withColumn("_rn", F.row_number().over(Window.orderBy("feed_ord", "pos"))).where(F.col("_rn") <= spec.cap).drop("_rn")
+        rows = rows.orderBy("feed_ord", "pos").limit(spec.cap)
     return rows.withColumns({"source": F.lit(spec.name), **{k: F.lit(v) for k, v in spec.constants.items()}})
 
 

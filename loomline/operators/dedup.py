@@ -26,22 +26,26 @@ def dedup_titles(df: DataFrame, id_column: str = "id") -> DataFrame:
     return first_by(df, F.nullif(normalise_title("title"), F.lit("")), F.col(id_column))
 
 
+def _named(df: DataFrame) -> DataFrame:
+    named = df.withColumn("publisher", F.coalesce(F.nullif("publisher", F.lit("")), "source")).withColumn("norm_title", normalise_title("title"))
+    return named.where("norm_title IS NOT NULL AND norm_title != ''")
+
+
 def representatives(df: DataFrame) -> DataFrame:
-    """``norm_title, id, title, publisher, weight, merged_ids, sources`` for ``id, title, publisher, source``.
+    """``norm_title, id, title, publisher, weight, sources`` for ``id, title, publisher, source``.
 
     One row per normalised title: best tier of the publisher, then the longest title, then the smallest id. weight is the number of
-    members. Blank titles form no group. The publisher falls back to the source where it is NULL or empty.
+    members, sources the different ones; groups are combined before the shuffle and never listed, so a title may hold any part of the
+    rows (``removed_to_kept`` has the members as rows). Blank titles form no group. The publisher falls back to the source where it is NULL or empty.
     """
-    named = df.withColumn("publisher", F.coalesce(F.nullif("publisher", F.lit("")), "source")).withColumn("norm_title", normalise_title("title"))
-    named = named.where("norm_title IS NOT NULL AND norm_title != ''")
     best = F.min_by(F.struct("id", "title", "publisher"), F.struct(source_tier("publisher").alias("tier"), (-F.length("title")).alias("len"), F.col("id").alias("low")))
-    return named.groupBy("norm_title").agg(best.alias("best"), F.count("*").alias("weight"), F.array_sort(F.collect_list("id")).alias("merged_ids"), F.array_sort(F.collect_set("source")).alias("sources")).select("norm_title", "best.*", "weight", "merged_ids", "sources")
+    return _named(df).groupBy("norm_title").agg(best.alias("best"), F.count("*").alias("weight"), F.array_sort(F.collect_set("source")).alias("sources")).select("norm_title", "best.*", "weight", "sources")
 
 
 def removed_to_kept(df: DataFrame) -> DataFrame:
     """``removed_id, kept_id``: every member of a title group but its representative."""
-    r = representatives(df)
-    return r.select(F.col("id").alias("kept_id"), F.explode("merged_ids").alias("removed_id")).where("removed_id != kept_id").select("removed_id", "kept_id")
+    kept = representatives(df).where("weight > 1").select("norm_title", F.col("id").alias("kept_id"))
+    return _named(df).select("norm_title", F.col("id").alias("removed_id")).join(kept, "norm_title").where("removed_id != kept_id").select("removed_id", "kept_id")
 
 
 def unprocessed(raw: DataFrame, processed: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ ranked AS (
 # --- deduplication
 def title_dedup_representatives(spark: SparkSession, d: str) -> DataFrame:
     r = dedup.representatives(_t(spark, d, "raw_news"))
-    return r.select("norm_title", "id", "title", "publisher", "weight", F.array_join("merged_ids", ",").alias("merged_ids"), F.array_join("sources", ",").alias("sources"))
+    return r.select("norm_title", "id", "title", "publisher", "weight", F.array_join("sources", ",").alias("sources"))
 
 
 def title_dedup_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -344,7 +344,7 @@ _OUTLETS = _or(dims.OUTLET_NAMES)
 _SECTIONS = ", ".join(_sql(s.lower()) for s in dims.SECTION_TITLES)
 
 ORACLE = {
-    "title_dedup_representatives": f"WITH {_REPR}, g AS (SELECT norm_title, count(*) AS weight, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS merged_ids, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM ranked GROUP BY 1) SELECT norm_title, id, title, publisher, weight, merged_ids, coalesce(sources, '') AS sources FROM ranked JOIN g USING (norm_title) WHERE rn = 1",
+    "title_dedup_representatives": f"WITH {_REPR}, g AS (SELECT norm_title, count(*) AS weight, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM ranked GROUP BY 1) SELECT norm_title, id, title, publisher, weight, coalesce(sources, '') AS sources FROM ranked JOIN g USING (norm_title) WHERE rn = 1",
     "title_dedup_stats": f"WITH {_REPR}, g AS (SELECT count(*) AS n FROM ranked GROUP BY norm_title) SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS n_groups, CAST(sum(n - 1) AS BIGINT) AS removed, round(sum(n - 1) * 100.0 / sum(n), 4) AS removed_pct FROM g",
     "removed_to_kept_map": f"WITH {_REPR} SELECT a.id AS removed_id, b.id AS kept_id FROM ranked a JOIN ranked b USING (norm_title) WHERE b.rn = 1 AND a.rn > 1",
     "incremental_group_antijoin": f"WITH k AS (SELECT id, {_norm('title')} AS norm_title FROM raw_news), done AS (SELECT DISTINCT norm_title FROM k WHERE id IN (SELECT ref_raw_id FROM processed_news)) SELECT id, norm_title FROM k WHERE NOT EXISTS (SELECT 1 FROM done WHERE done.norm_title = k.norm_title)",

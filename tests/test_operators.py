@@ -94,7 +94,9 @@ def test_representatives(spark):
     rows = [(1, "Same Title", "other", "s"), (2, "same  title!", "Bloomberg", "s"), (3, "SAME TITLE", "Reuters", "s"), (4, "same title", "", "Bloomberg"), (5, None, "x", "s"), (6, " ", "x", "s")]
     r = {x["norm_title"]: x for x in dedup.representatives(spark.createDataFrame(rows, "id bigint, title string, publisher string, source string")).collect()}
     assert set(r) == {"same title", "same title!"}
-    assert r["same title"]["id"] == 4 and r["same title"]["weight"] == 3 and r["same title"]["merged_ids"] == [1, 3, 4]
+    assert r["same title"]["id"] == 4 and r["same title"]["weight"] == 3
+    df = spark.createDataFrame(rows, "id bigint, title string, publisher string, source string")
+    assert {tuple(x) for x in dedup.removed_to_kept(df).collect()} == {(1, 4), (3, 4)}
 
 
 def test_waterfall_and_fallback(spark):
