@@ -81,7 +81,7 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, b
     # a cut that begins beyond the quota is not needed
     offsets = offsets.where(F.col("offset") < _by_source(quotas, "bigint"))
     inside = Window.partitionBy("source", "pass_no", "cut").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = turns.join(F.broadcast(offsets), ["source", "pass_no", "cut"]).withColumn("start", F.col("offset") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+    placed = turns.join(offsets, ["source", "pass_no", "cut"]).withColumn("start", F.col("offset") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     taken = placed.where(F.col("start") + F.col("n_tokens") / 2 < _by_source(quotas, "bigint"))
     slots = pfair_schedule({s: float(q) for s, q in quotas.items()}) if quotas else {}
     table = F.create_map(*(x for s, v in sorted(slots.items()) for x in (F.lit(s), F.array(*map(F.lit, v))))) if slots else F.create_map().cast("map<string,array<int>>")

@@ -154,4 +154,26 @@ QUERIES = {
     "p10_calibration": p10_calibration,
 }
 
-ORACLE: dict[str, str] = {}
+_SPACE = r"[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# RE2 has no look-around: a second pass takes the dashes whose white space the first has used
+_DASH = f"'({_SPACE})[-–—]({_SPACE})', '\\1|\\2', 'g'"
+_HEADLINES = f"""
+keyed AS (
+  SELECT *, list_sort(list_filter(list_transform(string_split(replace(regexp_replace(regexp_replace(title, {_DASH}), {_DASH}), '·', '|'), '|'),
+    lambda x: lower(regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))), lambda x: x <> '')) AS pieces FROM raw_news
+), runs AS (SELECT *, min(id) OVER (PARTITION BY pieces) AS first_id, count(*) OVER (PARTITION BY pieces) AS n FROM keyed WHERE len(pieces) > 0)"""
+_DIFFER = " UNION ALL ".join(
+    f"SELECT first_id, '{f}' AS field_name FROM runs WHERE n > 1 GROUP BY first_id HAVING count(DISTINCT CASE WHEN {f} IS NULL OR regexp_matches({f}, '^{_SPACE}*$') THEN '' ELSE {f} END) > 1" for f in _FIELDS
+)
+
+ORACLE: dict[str, str] = {
+    "p3_found": f"WITH {_HEADLINES} SELECT first_id, id FROM runs WHERE id > first_id",
+    "p3_copies": f"WITH {_HEADLINES} SELECT id, title, n AS n_copies FROM runs WHERE id = first_id",
+    "p6_found": f"WITH {_HEADLINES} {_DIFFER}",
+    "p7_found": """
+WITH s AS (SELECT id, list_distinct(list_transform(regexp_extract_all(coalesce(title, '') || ' ' || coalesce(snippet, ''), '[\\p{L}\\p{N}]+'), lambda x: lower(x))) AS ws FROM raw_news),
+tok AS (SELECT id, len(ws) AS n, unnest(ws) AS w FROM s), df AS (SELECT w, count(*) AS f FROM tok GROUP BY w),
+pre AS (SELECT id, w FROM (SELECT id, n, tok.w, row_number() OVER (PARTITION BY id ORDER BY f, tok.w) AS r FROM tok JOIN df ON df.w = tok.w) WHERE r <= n - ceil(0.65 * n - 1e-9) + 1),
+cand AS (SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM pre a JOIN pre b ON a.w = b.w AND a.id < b.id)
+SELECT id_a, id_b FROM (SELECT id_a, id_b, len(list_intersect(a.ws, b.ws)) AS c, len(a.ws) + len(b.ws) AS t FROM cand JOIN s a ON a.id = id_a JOIN s b ON b.id = id_b) WHERE c >= 0.65 * (t - c) - 1e-9""",
+}
