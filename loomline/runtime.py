@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -53,6 +54,32 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scope:
+    """Tables staged inside a ``staging`` block; those kept outlive it."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.before, self.kept = spark, set(_made), set()
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        inside = set(_made)
+        out = stage_table(df, name)
+        self.kept |= set(_made) - inside
+        return out
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Scope]:
+    """Removes what is staged inside when the block ends, and lets Spark drop the shuffle files of plans nobody holds any more."""
+    scope = Scope(spark)
+    try:
+        yield scope
+    finally:
+        for path in set(_made) - scope.before - scope.kept:
+            _remove(*_made.pop(path), path)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def plain_unions(spark: SparkSession) -> Iterator[None]:
     """Plans made inside take no partitioning from unions.

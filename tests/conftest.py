@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark(tmp_path_factory):
     from loomline.session import get_session
 
-    s = get_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.checkpoint.dir": "file://" + str(tmp_path_factory.mktemp("shared"))})
+    s = get_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "3g", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.checkpoint.dir": "file://" + str(tmp_path_factory.mktemp("shared"))})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
