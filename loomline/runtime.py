@@ -42,14 +42,20 @@ def drop_staged() -> None:
         _made.pop(path, None)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that is removed when the application ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/loomline-{name}-{uuid.uuid4().hex}"
+    _made[path] = (spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration())
+    return path
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as a compressed table into the shared folder and reads it back.
 
     This cuts the lineage and survives the loss of executors. The table lives until the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/loomline-{name}-{uuid.uuid4().hex}"
-    _made[path] = (spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration())
+    path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
