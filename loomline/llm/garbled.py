@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import ahocorasick
 import pyarrow as pa
@@ -67,6 +68,12 @@ def automaton() -> ahocorasick.Automaton:
                     continue
                 value = found.setdefault(form, [form, None, None])
                 value[1 + korean] = value[1 + korean] or chr(c)
+    # two bytes of a Korean encoding that happen to be valid UTF-8: letters that no language of the repertoire has
+    for c in (*range(0x1C0, 0x1CD), *range(0x1DD, 0x218), *range(0x21C, 0x240)):
+        try:
+            found[chr(c)] = [chr(c), chr(c).encode().decode("cp949"), None]
+        except UnicodeDecodeError:
+            continue
     out = ahocorasick.Automaton()
     for form, value in found.items():
         out.add_word(form, tuple(value))
@@ -91,6 +98,10 @@ def latin_as_double_byte() -> dict[str, str]:
             form = _read(byte + letter.encode(), "cp949")
             if form and len(form) == 1 and "가" <= form <= "힣":
                 out.setdefault(form, c + letter)
+    for pair in product("äöüßéèêëàâçîïôûùñáíóú", repeat=2):
+        form = _read("".join(pair).encode("cp1252"), "cp949")
+        if form and len(form) == 1:
+            out.setdefault(form, "".join(pair))
     return out
 
 

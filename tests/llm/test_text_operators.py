@@ -44,6 +44,12 @@ def test_korean_bytes_read_as_latin(text):
 
 def test_latin_read_as_korean():
     assert repair("Prüfung für Gebäude".encode().decode("cp949")) == (True, "Prüfung für Gebäude", True)
+    assert repair("Größte".encode("cp1252").decode("cp949")) == (True, "Größte", True)
+
+
+def test_korean_bytes_that_are_valid_utf8():
+    assert repair("[ǥ] 오늘의 시황") == (True, "[표] 오늘의 시황", True)
+    assert repair("Timișoara și Țara") == (False, "Timișoara și Țara", True)
 
 
 @pytest.mark.parametrize("text", [*SAMPLES, "SÃO TELMÃO", "Ýrsa & Ðorri", "ÄÖÜ-Werk", "CHÂTEAU D’ÂLBRY", "ÎLE-DES-ÉCÂMES", "½ Ångvik", "Łódmir", "AT&amp;T", "李 대표, 美 방문", "Hozupene의 발표", "", "ascii", "a\xa0b"])
