@@ -11,7 +11,6 @@ rows of earlier batches only.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm.wordsets import candidate_pairs, graded_words, sketch_entries, verify_pairs, with_words
-from loomline.runtime import shared_folder, shuffle_width, stage_table
+from loomline.runtime import plain_unions, scratch_path, shuffle_width, stage_table, staging
 
 OVERLAP = 0.8
 #: Bits of a filter per fingerprint, hash functions, and the bits of one partition at most (1 MB).
@@ -106,7 +105,7 @@ class FingerprintStore:
 
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
         self.spark = spark
-        self.path = path or f"{shared_folder(spark).rstrip('/')}/loomline-store-{uuid.uuid4().hex}"
+        self.path = path or scratch_path(spark, "store")  # without a path the store ends with the application
         self.generations: list[str] = []
         self.grades: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -169,10 +168,12 @@ def _decide(rows: DataFrame, edges: DataFrame, sets: DataFrame, addresses: DataF
     settled: list[DataFrame] = []
     open_rows = rows
     for _ in range(MOST_ROUNDS):
-        nodes = _earliest([seen_nodes, open_rows.where("node IS NOT NULL").groupBy("node").agg(F.min("batch").alias("hi")).select("node", never.alias("lo"), "hi")], "node")
-        near = edges.join(nodes.withColumnRenamed("node", "m"), "m").select("node", "lo", "hi")
-        nodes = _earliest([nodes, near], "node").select("node", F.col("lo").alias("nlo"), F.col("hi").alias("nhi"))
-        places = _earliest([seen_addresses, open_rows.where("u IS NOT NULL").groupBy("u").agg(F.min("batch").alias("hi")).select("u", never.alias("lo"), "hi")], "u").select("u", F.col("lo").alias("ulo"), F.col("hi").alias("uhi"))
+        opened = open_rows.where("node IS NOT NULL").groupBy("node").agg(F.min("batch").alias("hi")).select("node", never.alias("lo"), "hi")
+        own = stage_table(_earliest([seen_nodes, opened], "node"), "nodes")
+        near = edges.join(own.withColumnRenamed("node", "m"), "m").select("node", "lo", "hi")
+        nodes = stage_table(_earliest([own, near], "node").select("node", F.col("lo").alias("nlo"), F.col("hi").alias("nhi")), "nodes")
+        opened = open_rows.where("u IS NOT NULL").groupBy("u").agg(F.min("batch").alias("hi")).select("u", never.alias("lo"), "hi")
+        places = stage_table(_earliest([seen_addresses, opened], "u").select("u", F.col("lo").alias("ulo"), F.col("hi").alias("uhi")), "addresses")
         before = lambda *c: F.coalesce(F.least(*c) < F.col("batch"), F.lit(False))
         judged = open_rows.join(nodes, "node", "left").join(places, "u", "left")
         state = F.when(before("nlo", "ulo"), "known").when(before("nhi", "uhi"), "open").otherwise("new")
@@ -195,6 +196,11 @@ def admit(store: FingerprintStore, records: DataFrame, overlap: float = OVERLAP)
     not exclude each other. A row without address and without a word in its title is always new. A NULL
     ``created_at`` counts as no batch: such rows match nothing and come out as new. Other columns are ignored.
     """
+    with plain_unions(store.spark), staging(store.spark) as scope:
+        return scope.keep(_admit(store, records, overlap), "admitted")
+
+
+def _admit(store: FingerprintStore, records: DataFrame, overlap: float) -> DataFrame:
     address = address_key(F.col("url"))
     base = records.select("id", F.col("created_at").cast("timestamp").alias("batch"), F.when(address.isNotNull(), F.xxhash64(address)).alias("u"), "title")
     rows = with_words(base, "title", ["id", "batch", "u"])
@@ -202,7 +208,7 @@ def admit(store: FingerprintStore, records: DataFrame, overlap: float = OVERLAP)
     rows = stage_table(with_words(base, "title", ["id", "batch", "u"], words=False).select("id", "node", "u", "batch"), "rows")
     if store.grades is None:
         store.grades = graded_words(sets)
-    entries = stage_table(sketch_entries(sets, overlap, store.grades), "entries")
+    entries = sketch_entries(sets, overlap, store.grades)  # made again where it is read: that costs less than its room
     every, known_sets, known_addresses = entries, store.table("sets"), store.table("addresses")
     if store.generations:
         addresses = rows.where("u IS NOT NULL").select("u").distinct()
