@@ -65,6 +65,18 @@ def _words(text: str | None) -> set[str]:
     return {w.lower() for w in _WORD.findall(text)} if "\u0130" in text else set(_WORD.findall(text.lower()))
 
 
+def _hashed(texts: pa.Array, hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Hashes of all words, where each text's begin (one more at the end), and the nodes."""
+    sets = [_words(t) for t in texts.to_pylist()]
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(sets)), np.uint64, int(n.sum()))
+    start = np.concatenate([[0], np.cumsum(n)])
+    node = np.zeros(len(n), np.uint64)
+    if len(flat):
+        node[n > 0] = np.add.reduceat(_mixed(flat), start[:-1][n > 0])
+    return flat.view(np.int64), start, pa.array(node.view(np.int64), mask=n == 0)
+
+
 def with_words(records: DataFrame, text: str, keep: list[str], words: bool = True) -> DataFrame:
     """``keep``, ``node`` and ``words`` of the column ``text``.
 
@@ -76,21 +88,30 @@ def with_words(records: DataFrame, text: str, keep: list[str], words: bool = Tru
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            sets = [_words(t) for t in batch.column(len(keep)).to_pylist()]
-            n = np.fromiter(map(len, sets), np.int64, len(sets))
-            flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(sets)), np.uint64, int(n.sum()))
-            start = np.concatenate([[0], np.cumsum(n)])
-            node = np.zeros(len(n), np.uint64)
-            if len(flat):
-                node[n > 0] = np.add.reduceat(_mixed(flat), start[:-1][n > 0])
-            out = [*batch.columns[: len(keep)], pa.array(node.view(np.int64), mask=n == 0)]
+            flat, start, node = _hashed(batch.column(len(keep)), hashes)
+            out = [*batch.columns[: len(keep)], node]
             if words:
-                out.append(pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(flat.view(np.int64))))
+                out.append(pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(flat)))
             yield pa.RecordBatch.from_arrays(out, [*keep, "node", *(["words"] if words else [])])
 
     return records.select(*keep, text).mapInArrow(run, schema)
 
 
+def nodes_and_counts(records: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """``id, node`` of every record (``id bigint``) with a word, and ``w, c``: the records with each word, batch by batch. One pass, staged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            flat, _, node = _hashed(batch.column(1), hashes)
+            yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.nulls(len(node), pa.int64()), pa.nulls(len(node), pa.int64())], ["id", "node", "w", "c"])
+            w, c = np.unique(flat, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.int64()), pa.nulls(len(w), pa.int64()), pa.array(w), pa.array(c)], ["id", "node", "w", "c"])
+
+    both = stage_table(records.select("id", text).mapInArrow(run, "id bigint, node bigint, w bigint, c bigint"), "words")
+    return both.where("node IS NOT NULL").select("node", "id"), both.where("c IS NOT NULL").select("w", "c")
+
+
 def _batch_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         w, c = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
@@ -98,8 +119,13 @@ def _batch_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def graded_words(sets: DataFrame, graded: int = GRADED) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent words (``words array<bigint>``, counted over all rows) as sorted hashes and their counts."""
-    counts = stage_table(sets.select("words").mapInArrow(_batch_counts, "w bigint, c bigint").groupBy("w").agg(F.sum("c").alias("c")).where("c > 3"), "counts")
+    """The most frequent words of ``words array<bigint>``, counted over all rows, as sorted hashes and their counts."""
+    return most_frequent(sets.select("words").mapInArrow(_batch_counts, "w bigint, c bigint"), graded)
+
+
+def most_frequent(parts: DataFrame, graded: int = GRADED) -> tuple[np.ndarray, np.ndarray]:
+    """The same for partial counts ``w, c``. At most ``graded`` words reach the driver."""
+    counts = stage_table(parts.groupBy("w").agg(F.sum("c").alias("c")).where("c > 3"), "counts")
     grade = F.floor(F.log2("c") * 4).cast("int")
     bins = counts.groupBy(grade.alias("b")).agg(F.count("*").alias("n")).collect()  # at most 4 x 64 rows
     room, least = graded, None
