@@ -90,10 +90,11 @@ def drop_reason(text: Column | str, words: list[str] = dims.DROP_WORDS, tags: li
     t = _col(text)
     rules = [
         F.when(t.rlike(rf"^\[({_any_of(tags)})\]"), "Rule: Title Prefix Drop"),
-        F.when(t.rlike("인사(?!이트)"), "Rule: Noise Keyword (인사)"),
+        F.when(t.contains("인사") & t.rlike("인사(?!이트)"), "Rule: Noise Keyword (인사)"),
         F.when(t.contains("[표]"), "Rule: Noise Keyword ([표])"),
     ]
-    rules += [F.when(t.rlike(rf"(^|[^\p{{L}}\p{{N}}_]){re.escape(w)}($|[^\p{{L}}\p{{N}}_])"), f"Rule: Drop Keyword '{w}'") for w in words]
+    # a plain search is cheap and leaves few texts for the word borders
+    rules += [F.when(t.contains(w) & t.rlike(rf"(^|[^\p{{L}}\p{{N}}_]){re.escape(w)}($|[^\p{{L}}\p{{N}}_])"), f"Rule: Drop Keyword '{w}'") for w in words]
     return F.coalesce(*rules)
 
 

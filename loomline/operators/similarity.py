@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomline.functions.text import reason_subject, source_tier
-from loomline.runtime import stage_table
+from loomline.runtime import shuffle_width, stage_table
 
 
 def at_least(a: str, b: str, threshold: float) -> float:
@@ -56,7 +56,9 @@ def similar_titles(rows: DataFrame, threshold: float = 0.5, within: list[str] |
         for p, q in batches:
             yield pd.Series([at_least(i, j, threshold) for i, j in zip(p, q, strict=True)], dtype="float64")
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", bounded("ta", "tb").alias("ratio")).where(F.col("ratio") >= threshold)
+    # the ratios cost far more than their bytes tell, so the pairs are spread by number and not coalesced
+    spread = pairs.join(left, "a").join(right, "b").repartition(2 * shuffle_width(rows.sparkSession))
+    return spread.select("a", "b", bounded("ta", "tb").alias("ratio")).where(F.col("ratio") >= threshold)
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
