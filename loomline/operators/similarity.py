@@ -76,15 +76,16 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"no end after {most_rounds} rounds")
 
 
-def subject_links(rows: DataFrame) -> DataFrame:
-    """``a, b``: every row with a subject in its reason, linked to the smallest id of that subject (no pairs within a group)."""
-    named = rows.select("id", reason_subject("llm_reason").alias("s")).where("s != ''")
-    return named.join(named.groupBy("s").agg(F.min("id").alias("b")), "s").where("id != b").select(F.col("id").alias("a"), "b")
+def subject_links(rows: DataFrame, within: list[str] | None = None) -> DataFrame:
+    """``a, b``: every row with a subject in its reason, linked to the smallest id of that subject in its block (no pairs within a group)."""
+    by = within or []
+    named = rows.select("id", reason_subject("llm_reason").alias("s"), *by).where("s != ''")
+    return named.join(named.groupBy("s", *by).agg(F.min("id").alias("b")), ["s", *by]).where("id != b").select(F.col("id").alias("a"), "b")
 
 
 def fuzzy_groups(rows: DataFrame, threshold: float = 0.5, within: list[str] | None = None) -> DataFrame:
-    """``rows`` with ``component``: rows of equal subject or similar titles, transitively; a row on its own is its own component."""
-    links = similar_titles(rows, threshold, within).select("a", "b").unionByName(subject_links(rows))
+    """``rows`` with ``component``: rows of equal subject or similar titles within a block, transitively; a row on its own is its own component."""
+    links = similar_titles(rows, threshold, within).select("a", "b").unionByName(subject_links(rows, within))
     return rows.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 

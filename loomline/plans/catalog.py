@@ -270,14 +270,17 @@ def _kept(spark: SparkSession, d: str) -> DataFrame:
     return kept.withColumn("day", F.to_date("created_at")).where("title IS NOT NULL")
 
 
+def _grouped(spark: SparkSession, d: str) -> DataFrame:
+    return similarity.fuzzy_groups(_kept(spark, d), 0.5, ["day"])
+
+
 def fuzzy_components(spark: SparkSession, d: str) -> DataFrame:
-    """Similar titles of a day, as a daily run sees them."""
-    return similarity.components(similarity.similar_titles(_kept(spark, d), 0.6, ["day"]))
+    """Equal subjects or similar titles of a day, as a daily run sees them; a row on its own is its own component."""
+    return _grouped(spark, d).select("id", "component")
 
 
 def fuzzy_representatives(spark: SparkSession, d: str) -> DataFrame:
-    rows = _kept(spark, d).withColumn("llm_reason", F.lit(None).cast("string"))
-    return similarity.group_picks(similarity.fuzzy_groups(rows, 0.6, ["day"])).select("id", "component", "pick")
+    return similarity.group_picks(_grouped(spark, d)).select("id", "component", "pick")
 
 
 def greedy_curate(spark: SparkSession, d: str) -> DataFrame:

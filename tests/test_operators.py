@@ -222,3 +222,21 @@ def test_vectors(spark):
 def test_stats(spark):
     rows = spark.createDataFrame([("a",), ("a",), (None,), ("",)], "source string")
     assert {r["source"]: r["n"] for r in stats.source_totals(rows).collect()} == {"a": 2, "(none)": 2, "TOTAL": 4}
+
+
+def test_fuzzy_queries_group_at_half_and_by_subject(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    from loomline.plans import catalog
+
+    half = ("bohemi capital to sell naheyari unit for cash", "huweyi motors to sell bivihoyu unit for stock")
+    assert 0.5 <= SequenceMatcher(None, half[1], half[0]).ratio() < 0.6
+    day, later = datetime(2026, 1, 1, 7), datetime(2026, 1, 2, 7)
+    raw = [(1, half[0], day), (2, half[1], day), (3, "quarterly rates", day), (4, "0987 zz", day), (5, "0987 yy qq pp", later), (6, "vvv !!", day)]
+    processed = [(10 + i, i, "KEEP", "K", r) for i, r in enumerate([None, "no subject", "[Bank] up", "[ bank ] down", "[Bank] later", ""], 1)]
+    spark.createDataFrame(raw, "id bigint, title string, created_at timestamp").selectExpr("*", "'' AS snippet", "'u' AS url", "'Reuters' AS publisher", "'s' AS source").write.parquet(f"{tmp_path}/raw_news.parquet")
+    spark.createDataFrame(processed, "id bigint, ref_raw_id bigint, llm_decision string, llm_category string, llm_reason string").write.parquet(f"{tmp_path}/processed_news.parquet")
+    want = {11: 11, 12: 11, 13: 13, 14: 13, 15: 15, 16: 16}
+    assert {r["id"]: r["component"] for r in catalog.fuzzy_components(spark, str(tmp_path)).collect()} == want
+    picks = catalog.fuzzy_representatives(spark, str(tmp_path)).collect()
+    assert {r["id"]: r["component"] for r in picks} == want and sorted(r["pick"] for r in picks) == [1, 1, 1, 1, 2, 2]
