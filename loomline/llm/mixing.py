@@ -91,6 +91,11 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, b
     return taken.select(slot.cast("bigint").alias("slot"), "source", "doc_id", "pass_no", "n_tokens", "start")
 
 
+def stock(sizes: DataFrame, targets: DataFrame) -> int:
+    """Tokens of all documents of the target sources, each once: the total of a mixture that puts volume before shares."""
+    return sizes.join(F.broadcast(targets.select("source")), "source", "left_semi").agg(F.sum("n_tokens")).first()[0] or 0
+
+
 def share_report(mixed: DataFrame, sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """``source, target_share, max_repeats, n_documents, n_tokens, actual_share, most_uses, available_tokens, met`` for every target."""
     per_document = mixed.groupBy("source", "doc_id").agg(F.count("*").alias("uses"), F.sum("n_tokens").alias("t"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomline.llm.batches import FingerprintStore, admit
 from loomline.llm.format_dups import collapse, headline_groups
 from loomline.llm.garbled import garbled_fields
-from loomline.llm.mixing import mix, share_report
+from loomline.llm.mixing import mix, share_report, stock
 from loomline.llm.near_dups import near_duplicate_groups, near_duplicate_pairs
 from loomline.llm.packing import fill_report, pack
 from loomline.llm.subjects import calibration, composition, document_subjects
@@ -103,20 +103,24 @@ def _sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
-    """Shares come first: the total is the largest at which every source with documents reaches its target."""
-    return mix(_sizes(spark, d), _table(spark, d, "mix_targets"))
+    """Volume comes first: as many tokens as the target sources have; small sources are repeated as often as they may be, then fall short."""
+    sizes, targets = _sizes(spark, d), _table(spark, d, "mix_targets")
+    return mix(sizes, targets, stock(sizes, targets))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     sizes, targets = _sizes(spark, d), _table(spark, d, "mix_targets")
-    return share_report(mix(sizes, targets), sizes, targets)
+    return share_report(mix(sizes, targets, stock(sizes, targets)), sizes, targets)
 
 
-def p9_shares_by_volume(spark: SparkSession, d: str) -> DataFrame:
-    """Volume comes first: as many tokens as the target sources have; small sources fall short and are reported."""
+def p9_mix_by_share(spark: SparkSession, d: str) -> DataFrame:
+    """Shares come first: the total is the largest at which every source with documents reaches its target."""
+    return mix(_sizes(spark, d), _table(spark, d, "mix_targets"))
+
+
+def p9_shares_by_share(spark: SparkSession, d: str) -> DataFrame:
     sizes, targets = _sizes(spark, d), _table(spark, d, "mix_targets")
-    total = sizes.join(F.broadcast(targets.select("source")), "source", "left_semi").agg(F.sum("n_tokens")).first()[0]
-    return share_report(mix(sizes, targets, total), sizes, targets)
+    return share_report(mix(sizes, targets), sizes, targets)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -148,7 +152,9 @@ QUERIES = {
     "p8_fill": p8_fill,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
-    "p9_shares_by_volume": p9_shares_by_volume,
+    "p9_shares_by_volume": p9_shares,
+    "p9_mix_by_share": p9_mix_by_share,
+    "p9_shares_by_share": p9_shares_by_share,
     "p10_found": p10_found,
     "p10_composition": p10_composition,
     "p10_calibration": p10_calibration,

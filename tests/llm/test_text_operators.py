@@ -186,3 +186,17 @@ def test_document_subjects(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("subject", F.lit("clash"))
     assert sorted((r["doc_id"], r["subject"]) for r in document_subjects(df).collect()) == [(1, "law"), (2, "law"), (5, "sport")]
     assert document_subjects(df.limit(0)).count() == 0
+
+
+def test_p9_mix_puts_volume_first(spark, tmp_path):
+    from loomline.llm import queries
+
+    docs = [(i, "big" if i < 40 else "small", "one two three four five six seven eight") for i in range(41)]
+    spark.createDataFrame(docs, "doc_id bigint, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("big", 0.8, 1), ("small", 0.2, 3)], "source string, target_share double, max_repeats int").write.parquet(f"{tmp_path}/mix_targets.parquet")
+    uses = {r["source"]: r["count"] for r in queries.p9_mix(spark, str(tmp_path)).groupBy("source").count().collect()}
+    # a total of 41 documents: 0.8 of them are 33, and the small one's share of 8 is cut off at three uses
+    assert uses == {"big": 33, "small": 3}
+    met = {r["source"]: (r["met"], r["most_uses"]) for r in queries.p9_shares(spark, str(tmp_path)).collect()}
+    assert met == {"big": (True, 1), "small": (False, 3)}
+    assert {r["source"]: r["count"] for r in queries.p9_mix_by_share(spark, str(tmp_path)).groupBy("source").count().collect()} == {"big": 12, "small": 3}
