@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql.window import Window
 from loomline.functions.text import reason_subject, source_tier
 from loomline.runtime import shuffle_width, stage_table
 
+#: Rows of a block that are compared with as many others in one go; classes of characters; 8-byte words of masks held at a time; pairs taken in step.
+TILE, CLASSES, MASK_WORDS, STEP_PAIRS = 1024, 512, 2**21, 8192
+
 
 def at_least(a: str, b: str, threshold: float) -> float:
     """The ratio of a and b if it reaches the threshold, else 0; cheap upper bounds come first. Order matters: ratio(a, b) is not ratio(b, a)."""
@@ -32,33 +36,110 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     return run(a, b)
 
 
+def common_length(codes: np.ndarray, first: np.ndarray, size: np.ndarray, masks: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Longest common subsequences of the texts ``codes[first:first + size]``, longest first, each with text ``which`` of ``masks`` (class, word, text): bit-parallel, all pairs in step."""
+    words, n = masks.shape[1:]
+    flat = masks.ravel()
+    v = np.full((words, len(first)), ~np.uint64(0))
+    for k in range(int(size[0])):
+        live = np.count_nonzero(size > k)
+        at = codes[first[:live] + k] * (words * n) + which[:live]
+        carry = None
+        for w in range(words):
+            m = flat.take(at + w * n)
+            old = v[w, :live]
+            total = old + (old & m)
+            over = total < old
+            if carry is not None:
+                total += carry
+                over |= total < carry
+            carry = over
+            v[w, :live] = total | (old & ~m)
+    return 64 * words - np.bitwise_count(v).sum(axis=0, dtype=np.int64)
+
+
+def close_pairs(x: list[str], y: list[str] | None, threshold: float) -> Iterator[tuple[int, int]]:
+    """Positions in x and y (in x twice if y is None, each pair once) of texts whose ratio may reach the threshold.
+
+    Matched blocks are a common subsequence, so ``2 * LCS / (sum of lengths)`` bounds the ratio from above, and the characters in common bound the LCS.
+    Characters are put in classes, which can only raise both bounds: no pair is lost.
+    """
+    n_x, texts = len(x), x + (y or [])
+    length = np.array([len(t) for t in texts])
+    _, kind = np.unique(np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4"), return_inverse=True)
+    codes, begins = kind % CLASSES, np.cumsum(length) - length
+    kind = np.split(codes, begins[1:])
+    bags = np.zeros((len(texts), 64), dtype=np.int32)
+    for i, c in enumerate(kind):
+        np.add.at(bags[i], c % 64, 1)
+    order = np.argsort(length[:n_x] if y is None else length[n_x:], kind="stable") + (0 if y is None else n_x)
+    place = np.empty(len(texts), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    first = 0
+    while first < len(order):
+        # texts of like length, so many that their masks stay small
+        words = -(-int(length[order[first]]) // 64)
+        most = max(1, MASK_WORDS // (CLASSES * words))
+        some = order[first : first + most]
+        some = some[length[some] <= 64 * words]
+        masks = np.zeros((CLASSES, words, len(some)), dtype=np.uint64)
+        for k, j in enumerate(some):
+            where = np.arange(length[j])
+            np.bitwise_or.at(masks[:, :, k], (kind[j], where // 64), np.uint64(1) << (where % 64).astype(np.uint64))
+        left, right = [], []
+        for i in range(n_x):
+            # within x each pair once: only with texts further on in the order
+            start = 0 if y is not None else max(0, int(place[i]) + 1 - first)
+            rest = some[start:]
+            if len(rest):
+                fits = start + np.flatnonzero(2.0 * np.minimum(bags[i], bags[rest]).sum(axis=1) / (length[i] + length[rest]) >= threshold)
+                left.append(np.full(len(fits), i))
+                right.append(fits)
+        if left:
+            i, k = np.concatenate(left), np.concatenate(right)
+            o = np.argsort(-length[i], kind="stable")
+            for part in np.split(o, np.arange(STEP_PAIRS, len(o), STEP_PAIRS)) if len(o) else ():
+                p, q = i[part], k[part]
+                good = 2.0 * common_length(codes, begins[p], length[p], masks, q) / (length[p] + length[some[q]]) >= threshold
+                yield from zip(p[good].tolist(), (some[q[good]] - (0 if y is None else n_x)).tolist(), strict=True)
+        first += len(some)
+
+
 def similar_titles(rows: DataFrame, threshold: float = 0.5, within: list[str] | None = None) -> DataFrame:
-    """``a, b, ratio`` (a > b): pairs whose titles' ratio reaches the threshold, a first as the later row.
+    """``a, b, ratio`` (a > b): all pairs whose titles' ratio reaches the threshold, a first as the later row.
 
-    Pairs are sought within ``within`` (say category and day). Candidates must share a character trigram rare enough in the block and pass the
-    exact length bound 2*min/(sum) >= threshold; blocks are the unit of scale, as the windows of a daily run are.
+    Pairs are sought within ``within`` (say category and day). All pairs of a block pass an exact bound (``close_pairs``) before the ratio; a large block
+    is cut in tiles, which spread over tasks. The work grows with the square of a block: blocks are the unit of scale, as the windows of a daily run are.
     """
     by = within or []
-    t = rows.select("id", F.lower("title").alias("t"), *by).where(F.length("t") > 0)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("t") - 2)), lambda i: F.substring("t", i, F.lit(3))))
-    keys = t.select(*by, "id", F.length("t").alias("n"), F.explode(grams).alias("g"))
-    freq = keys.groupBy(*by, "g").agg(F.count("*").alias("f"))
-    # the rarest grams of each title; ties by the gram itself
-    w = Window.partitionBy(*by, "id").orderBy("f", "g")
-    kept = keys.join(freq, [*by, "g"]).withColumn("_r", F.row_number().over(w)).where((F.col("_r") <= F.ceil(F.col("n") * (1 - threshold / 2)))).select(*by, "id", "n", "g")
-    x, y = kept.alias("x"), kept.alias("y")
-    on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in [*by, "g"]] + [F.col("x.id") > F.col("y.id"), 2 * F.least("x.n", "y.n") >= threshold * (F.col("x.n") + F.col("y.n"))]
-    pairs = x.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    left, right = t.select(F.col("id").alias("a"), F.col("t").alias("ta")), t.select(F.col("id").alias("b"), F.col("t").alias("tb"))
-
-    @F.pandas_udf("double")
-    def bounded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for p, q in batches:
-            yield pd.Series([at_least(i, j, threshold) for i, j in zip(p, q, strict=True)], dtype="float64")
-
-    # the ratios cost far more than their bytes tell, so the pairs are spread by number and not coalesced
-    spread = pairs.join(left, "a").join(right, "b").repartition(2 * shuffle_width(rows.sparkSession))
-    return spread.select("a", "b", bounded("ta", "tb").alias("ratio")).where(F.col("ratio") >= threshold)
+    t = rows.select("id", F.lower("title").alias("t"), *by).where(F.length("t") > 0).dropna(subset=by or ["id"])
+    n = t.groupBy(*by).agg(F.ceil(F.count("*") / TILE).cast("int").alias("_k"))
+    cut = (t.join(n, by) if by else t.crossJoin(F.broadcast(n))).withColumn("_c", F.pmod(F.xxhash64("id"), F.col("_k")).cast("int"))
+    tiles = F.transform(F.sequence(F.lit(0), F.col("_k") - 1), lambda j: F.struct(F.least("_c", j).alias("i"), F.greatest("_c", j).alias("j")))
+    laid = cut.select(*by, "id", "t", "_c", F.explode(tiles).alias("_t")).select(*by, "id", "t", "_c", F.col("_t.i").alias("_i"), F.col("_t.j").alias("_j"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        i, j = int(pdf["_i"].iloc[0]), int(pdf["_j"].iloc[0])
+        x = pdf[pdf["_c"] == i]
+        y = x if i == j else pdf[pdf["_c"] == j]
+        ids, others, ta, tb = x["id"].tolist(), y["id"].tolist(), x["t"].tolist(), y["t"].tolist()
+        pairs = (((ids[p], ta[p]), (others[q], tb[q])) for p, q in close_pairs(ta, None if i == j else tb, threshold) if ids[p] != others[q])
+        # by the second text, which the matcher prepares
+        found, m, ready = [], SequenceMatcher(None), None
+        for b, a in sorted((min(p), max(p)) for p in pairs):
+            if b != ready:
+                m.set_seq2(b[1])
+                ready = b
+            m.set_seq1(a[1])
+            r = m.ratio()
+            if r >= threshold:
+                found.append((a[0], b[0], r))
+        return pd.DataFrame(found, columns=["a", "b", "ratio"])
+
+    # comparing costs far more than the bytes tell, so tiles are spread by number and not coalesced
+    keys = [*by, "_i", "_j"]
+    return laid.repartition(2 * shuffle_width(rows.sparkSession), *keys).groupBy(*keys).applyInPandas(compare, "a bigint, b bigint, ratio double").distinct()
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:

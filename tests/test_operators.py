@@ -240,3 +240,25 @@ def test_fuzzy_queries_group_at_half_and_by_subject(spark, tmp_path):
     assert {r["id"]: r["component"] for r in catalog.fuzzy_components(spark, str(tmp_path)).collect()} == want
     picks = catalog.fuzzy_representatives(spark, str(tmp_path)).collect()
     assert {r["id"]: r["component"] for r in picks} == want and sorted(r["pick"] for r in picks) == [1, 1, 1, 1, 2, 2]
+
+
+def test_similar_titles_finds_all_pairs(spark, monkeypatch):
+    import random
+    from difflib import SequenceMatcher
+
+    random.seed(5)
+    firms, acts, things = ["bohemi capital", "huweyi motors", "오사마중공업", "rheinblick"], ["to sell", "trims", "weitet aus", "raises"], ["naheyari unit", "bivihoyu plant", "정유 검토", "chip output"]
+    titles = [f"{random.choice(firms)} {random.choice(acts)} {random.choice(things)} for {random.randrange(10, 99)} {random.choice(['eur', '£m', 'won'])}" for _ in range(70)]
+    # single characters in common, no trigram; long texts with characters that the matcher ignores; repeats
+    titles += ["a.b.c.d.e.f.", "a-b-c-d-e-f-", titles[0] * 9, titles[1] * 9, titles[0] * 8 + titles[2], "x", "x", "ab"]
+    rows = [(i, t.upper() if i % 5 == 0 else t, "d" if i < 70 else "e") for i, t in enumerate(titles)] + [(200, "", "d"), (201, None, "d"), (202, titles[0], None), (203, titles[0], None)]
+    df = spark.createDataFrame(rows, "id bigint, title string, day string")
+    monkeypatch.setattr(similarity, "TILE", 16)
+    for within in (None, ["day"]):
+        want = {}
+        for a, x, d in rows:
+            for b, y, e in rows:
+                if a > b and x and y and (within is None or d is not None and d == e) and (r := SequenceMatcher(None, x.lower(), y.lower()).ratio()) >= 0.5:
+                    want[a, b] = r
+        assert (71, 70) in want
+        assert {(r["a"], r["b"]): r["ratio"] for r in similarity.similar_titles(df, 0.5, within).collect()} == want
