@@ -200,3 +200,19 @@ def test_p9_mix_puts_volume_first(spark, tmp_path):
     met = {r["source"]: (r["met"], r["most_uses"]) for r in queries.p9_shares(spark, str(tmp_path)).collect()}
     assert met == {"big": (True, 1), "small": (False, 3)}
     assert {r["source"]: r["count"] for r in queries.p9_mix_by_share(spark, str(tmp_path)).groupBy("source").count().collect()} == {"big": 12, "small": 3}
+
+
+def test_calibration_weighs_terms_by_all_documents(spark):
+    from loomline.llm.subjects import calibration, term_rarity
+
+    # the verdict is rare among the labelled texts and common in the rest; the goal is the other way round
+    law, goal = "The verdict of the tribunal came and the verdict was read.", "The goal of the striker came and the goal was seen."
+    texts = [(0, "The verdict came to the striker, and so did the verdict of the striker.")] + [(i, goal) for i in range(1, 9)] + [(i, law) for i in range(100, 300)]
+    documents = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, "sport") for i in range(9)], "doc_id bigint, subject string")
+    whole, part = term_rarity(documents), term_rarity(documents.where("doc_id < 100"))
+    assert (whole["verdict"] < whole["striker"]) and (part["verdict"] > part["striker"])
+    found = {(r["doc_id"], r["subject"]) for r in document_subjects(documents).where("doc_id < 100").collect()}
+    row = calibration(documents, labels, (0.2,)).first()
+    assert (row["n_true"], row["n_assigned"], row["n_right"]) == (9, len(found), sum(s == "sport" for _, s in found))
+    assert (0, "sport") in found
