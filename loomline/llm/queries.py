@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,16 +43,33 @@ def p3_copies(spark: SparkSession, d: str) -> DataFrame:
     return collapse(_table(spark, d, "raw_news"))
 
 
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    """The first half of the batches is the initial load, the rest is admitted against the store."""
+def _admitted(spark: SparkSession, d: str, cuts: list) -> DataFrame:
+    """Rows listed when the batches after each of ``cuts`` (times, ascending) are admitted together, the first ones as an initial load."""
     raw = _table(spark, d, "raw_news").select("id", "created_at", "url", "title")
-    first, last = raw.agg(F.min("created_at"), F.max("created_at")).first()
-    store, listed = FingerprintStore(spark), []
-    middle = first + (last - first) / 2 if first else None
-    early = F.col("created_at").isNull() | (F.col("created_at") <= F.lit(middle))
-    for part in (raw.where(early), raw.where(~early)) if first else (raw,):
+    store, listed, after = FingerprintStore(spark), [], None
+    for cut in [*cuts, None]:
+        part = raw if after is None else raw.where(F.col("created_at") > F.lit(after))
+        if cut is not None:
+            part = part.where(F.col("created_at").isNull() | (F.col("created_at") <= F.lit(cut)) if after is None else F.col("created_at") <= F.lit(cut))
         listed.append(admit(store, part).where("state = 'known'").select("id"))
-    return listed[0] if len(listed) == 1 else listed[0].unionByName(listed[1])
+        after = cut
+    return reduce(DataFrame.unionByName, listed)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """The first half of the batches is the initial load, the rest is admitted against the store."""
+    first, last = _table(spark, d, "raw_news").agg(F.min("created_at"), F.max("created_at")).first()
+    return _admitted(spark, d, [first + (last - first) / 2] if first else [])
+
+
+#: Batches that ``p5_daily`` admits one by one.
+DAYS = 10
+
+
+def p5_daily(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows, as a daily run finds them: all but the newest batches as the initial load, each of those on its own."""
+    days = _table(spark, d, "raw_news").where("created_at IS NOT NULL").groupBy("created_at").count().orderBy(F.desc("created_at")).limit(DAYS + 1).collect()
+    return _admitted(spark, d, sorted(r["created_at"] for r in days)[:-1])
 
 
 _FIELDS = ["title", "source", "publisher"]
@@ -142,6 +161,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_copies": p3_copies,
     "p5_found": p5_found,
+    "p5_daily": p5_daily,
     "p6_found": p6_found,
     "p6_survivors": p6_survivors,
     "p6_values": p6_values,
@@ -168,6 +188,26 @@ keyed AS (
   SELECT *, list_sort(list_filter(list_transform(string_split(replace(regexp_replace(regexp_replace(title, {_DASH}), {_DASH}), '·', '|'), '|'),
     lambda x: lower(regexp_replace(x, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))), lambda x: x <> '')) AS pieces FROM raw_news
 ), runs AS (SELECT *, min(id) OVER (PARTITION BY pieces) AS first_id, count(*) OVER (PARTITION BY pieces) AS n FROM keyed WHERE len(pieces) > 0)"""
+# batch after batch: the recursion carries the accepted ids
+_ADDRESS = f"""
+parts AS (SELECT id, title, created_at, CASE WHEN contains(url, '://') THEN regexp_replace(regexp_replace(url, '^(?s:.*?)://', ''), '(?s:#.*)$', '') END AS rest FROM raw_news),
+cut AS (SELECT id, title, created_at, rest, regexp_extract(rest, '^([^?]*)', 1) AS place, CASE WHEN contains(rest, '?') THEN substr(rest, strpos(rest, '?') + 1) ELSE '' END AS query FROM parts),
+addr AS (SELECT id, title, created_at, CASE WHEN rest IS NOT NULL THEN regexp_replace(regexp_replace(lower(regexp_extract(place, '^([^/]*)', 1)), '^www\\.', ''), ':(80|443)$', '')
+  || regexp_replace(substr(place, length(regexp_extract(place, '^([^/]*)', 1)) + 1), '/$', '') || '?'
+  || array_to_string(list_sort(list_filter(string_split(query, '&'), lambda q: list_contains(['article_id', 'office_id', 'idxno', 'id', 'no', 'seq'], regexp_extract(q, '^([^=]*)', 1)))), '&') END AS u FROM cut)"""
+_BATCHES = f"""
+WITH RECURSIVE {_ADDRESS},
+r AS (SELECT id, u, dense_rank() OVER (ORDER BY created_at) AS b, list_distinct(list_transform(regexp_extract_all(title, '[\\p{{L}}\\p{{N}}]+'), lambda x: lower(x))) AS ws FROM addr WHERE created_at IS NOT NULL),
+tok AS (SELECT id, b, len(ws) AS n, unnest(ws) AS w FROM r),
+shared AS (SELECT y.id, x.id AS old, any_value(x.n) + any_value(y.n) AS t, count(*) AS c FROM tok x JOIN tok y ON x.w = y.w AND x.b < y.b GROUP BY ALL),
+hits AS (SELECT id, old FROM shared WHERE c >= 0.8 * (t - c) - 1e-9 UNION SELECT y.id, x.id FROM r x JOIN r y ON x.u = y.u AND x.b < y.b),
+m AS (SELECT id, list(old) AS olds FROM hits GROUP BY id),
+days AS (SELECT b, list({{'id': r.id, 'olds': coalesce(m.olds, [])}}) AS items FROM r LEFT JOIN m ON m.id = r.id GROUP BY b),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS b, CAST([] AS BIGINT[]) AS ok
+  UNION ALL SELECT days.b, list_concat(walk.ok, list_transform(list_filter(days.items, lambda i: NOT list_has_any(i.olds, walk.ok)), lambda i: i.id)) FROM walk JOIN days ON days.b = walk.b + 1
+), fine AS (SELECT unnest(ok) AS id FROM walk WHERE b = (SELECT max(b) FROM days))
+SELECT id FROM r WHERE id NOT IN (SELECT id FROM fine)"""
 _DIFFER = " UNION ALL ".join(
     f"SELECT first_id, '{f}' AS field_name FROM runs WHERE n > 1 GROUP BY first_id HAVING count(DISTINCT CASE WHEN {f} IS NULL OR regexp_matches({f}, '^{_SPACE}*$') THEN '' ELSE {f} END) > 1" for f in _FIELDS
 )
@@ -175,6 +215,8 @@ _DIFFER = " UNION ALL ".join(
 ORACLE: dict[str, str] = {
     "p3_found": f"WITH {_HEADLINES} SELECT first_id, id FROM runs WHERE id > first_id",
     "p3_copies": f"WITH {_HEADLINES} SELECT id, title, n AS n_copies FROM runs WHERE id = first_id",
+    "p5_found": _BATCHES,
+    "p5_daily": _BATCHES,
     "p6_found": f"WITH {_HEADLINES} {_DIFFER}",
     "p7_found": """
 WITH s AS (SELECT id, list_distinct(list_transform(regexp_extract_all(coalesce(title, '') || ' ' || coalesce(snippet, ''), '[\\p{L}\\p{N}]+'), lambda x: lower(x))) AS ws FROM raw_news),

@@ -150,8 +150,8 @@ def _values(hashes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[
     return (np.minimum(count, (1 << 22) - 1) << 40) | ((hashes.view(np.uint64) >> np.uint64(24)).astype(np.int64)), count
 
 
-def sketch_entries(sets: DataFrame, threshold: float, grades: tuple[np.ndarray, np.ndarray], old: bool = False, block: int = LIST_BLOCK) -> DataFrame:
-    """The entries of the inverted lists for ``node, words``: one for each retained value, more for lists that are split."""
+def sketch_entries(sets: DataFrame, threshold: float, grades: tuple[np.ndarray, np.ndarray], old: bool = False, block: int | None = LIST_BLOCK) -> DataFrame:
+    """The entries of the inverted lists for ``node, words``: one for each retained value, more for lists that ``grades`` tell to be longer than ``block`` (None: never)."""
     shared = sets.sparkSession.sparkContext.broadcast(grades)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +183,7 @@ def sketch_entries(sets: DataFrame, threshold: float, grades: tuple[np.ndarray,
             keep = pos <= (n - np.ceil(threshold * n - 1e-9).astype(np.int64))[row]
             at = order[keep]
             r, key, pos = row[at], value[at], pos[keep]
-            pieces = np.maximum(1, -(-count[at] // block))
+            pieces = np.maximum(1, -(-count[at] // block)) if block else np.ones(len(at), np.int64)
             times = np.where(pieces > 1, pieces, 1)
             own = (nodes[r].view(np.uint64) >> np.uint64(33)).astype(np.int64) % pieces
             other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -281,9 +281,25 @@ def _list_pairs(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator
     yield from close()
 
 
+def split_lists(entries: DataFrame, block: int | None = None) -> DataFrame:
+    """``entries`` (made with ``block=None``) with the lists that are now longer than ``block`` cut in blocks, every pair of blocks once.
+
+    Lengths are counted over the entries given, whatever they were when older ones were stored. A task's share of a list is two blocks at most.
+    """
+    block = block or LIST_BLOCK
+    hot = stage_table(entries.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > block).select("key", F.ceil(F.col("c") / block).cast("int").alias("k")), "hot")
+    n = hot.count()
+    if not n:
+        return entries
+    cut = entries.join(F.broadcast(hot) if n <= GRADED else hot, "key", "left").withColumn("k", F.coalesce("k", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.shiftrightunsigned("node", 33), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    g, h, side = F.least("own", "other"), F.greatest("own", "other"), (F.col("own") > F.col("other")).cast("int")
+    return cut.withColumns({"g": g, "h": h, "side": side}).select(*entries.columns)
+
+
 def candidate_pairs(entries: DataFrame, threshold: float) -> DataFrame:
     """``a, b, overlap``: nodes (a < b) whose sketches allow the similarity, with the number of lists they met in."""
-    width = shuffle_width(entries.sparkSession)
+    width = shuffle_width(entries.sparkSession, entries)
     laid = entries.repartition(width, "key", "g", "h").sortWithinPartitions("key", "g", "h")
     return laid.mapInArrow(lambda batches: _list_pairs(threshold, batches), "a bigint, b bigint").groupBy("a", "b").agg(F.count("*").alias("overlap"))
 

@@ -152,6 +152,70 @@ def test_batches_against_sequential_admission(spark, cuts):
     assert got == want and len(store.generations) == len(cuts) + 1
 
 
+def _batch_rows():
+    random.seed(12)
+    stock = texts(50, 6)
+    return [(i, f"2026-01-{1 + i // 18:02d} 22:00:00", f"https://x.example/a?id={random.randrange(60)}" if i % 3 else None, random.choice(stock) if i % 11 else None) for i in range(90)]
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "id bigint, created_at string, url string, title string").withColumn("created_at", F.to_timestamp("created_at"))
+
+
+def test_store_is_reopened_for_every_batch(spark, tmp_path, monkeypatch):
+    """Five daily batches, each with a store opened anew from its path; generations are merged on the way."""
+    monkeypatch.setattr(batches, "FANOUT", 2)
+    monkeypatch.setattr(batches, "RANGE_ROWS", 16)
+    rows = _batch_rows()
+    want, got, path = sequential(rows), set(), f"file://{tmp_path}/store"
+    for day in sorted({r[1] for r in rows}):
+        store = batches.FingerprintStore(spark, path)
+        got |= {r["id"] for r in batches.admit(store, _frame(spark, [r for r in rows if r[1] == day])).where("state = 'known'").collect()}
+    assert got == want
+    store = batches.FingerprintStore(spark, path)
+    assert 1 <= len(store.generations) < 5
+    assert store.table("sets").count() == store.table("sets").select("node").distinct().count()
+    # the newest batch may come again, with the same result and nothing counted twice; an older one may not
+    day = max(r[1] for r in rows)
+    again = {r["id"] for r in batches.admit(store, _frame(spark, [r for r in rows if r[1] == day])).where("state = 'known'").collect()}
+    assert again == {r[0] for r in rows if r[1] == day and r[0] in want}
+    with pytest.raises(ValueError):
+        batches.admit(store, _frame(spark, rows[:3]))
+
+
+def test_store_survives_a_writer_that_died(spark, tmp_path):
+    path = f"{tmp_path}/store"
+    rows = _batch_rows()[:24]
+    batches.admit(batches.FingerprintStore(spark, f"file://{path}"), _frame(spark, rows))
+    (tmp_path / "store" / "manifest-00000002").write_text('{"generations": [{"na')
+    (tmp_path / "store" / "generation-broken").mkdir()
+    store = batches.FingerprintStore(spark, f"file://{path}")
+    assert len(store.generations) == 1
+    copy = [(900, "2026-02-01 00:00:00", None, next(r[3] for r in rows if r[3]))]
+    assert [r["state"] for r in batches.admit(store, _frame(spark, copy)).collect()] == ["known"]
+    # two writers that opened the same version: the second one fails
+    one, two = batches.FingerprintStore(spark, f"file://{path}"), batches.FingerprintStore(spark, f"file://{path}")
+    batches.admit(one, _frame(spark, [(901, "2026-02-02 00:00:00", None, "quite another one")]))
+    with pytest.raises(Exception, match="(?i)exist"):
+        batches.admit(two, _frame(spark, [(902, "2026-02-02 00:00:00", None, "and one more")]))
+
+
+def test_words_that_become_frequent_later_are_split(spark, monkeypatch):
+    """Lists are cut by their present length, not by that of the first admission."""
+    monkeypatch.setattr(wordsets, "LIST_BLOCK", 4)
+    rows = [(0, "2026-01-01 00:00:00", None, "quiet start")] + [(k, f"2026-01-0{2 + k % 3} 00:00:00", None, f"w{k} x{k // 2} hot story") for k in range(1, 60)]
+    store, got = batches.FingerprintStore(spark), set()
+    for day in sorted({r[1] for r in rows}):
+        got |= {r["id"] for r in batches.admit(store, _frame(spark, [r for r in rows if r[1] == day]), 0.6).where("state = 'known'").collect()}
+    accepted, want = [], set()
+    for day in sorted({r[1] for r in rows}):
+        new = [r for r in rows if r[1] == day]
+        hit = {r[0] for r in new if any(jaccard(words(r[3]), words(s[3])) >= 0.6 for s in accepted)}
+        want |= hit
+        accepted += [r for r in new if r[0] not in hit]
+    assert want and got == want
+
+
 def test_batches_edge_rows(spark):
     schema = "id bigint, created_at timestamp, url string, title string"
     store = batches.FingerprintStore(spark)
