@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,16 +10,21 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Input (as stored) per partition of an explicit repartition, and the number of partitions from which on they grow instead.
+PARTITION_BYTES, MOST_PARTITIONS = 64 << 20, 100_000
+
 _made: dict[str, tuple] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see: ``spark.checkpoint.dir`` if the session names one, else a local one."""
+    """The folder that all executors see: ``spark.checkpoint.dir`` if the session names one; a local one only where the master is local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="loomline-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -49,6 +53,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Executions inside drop their shuffle files when they end; nothing that is written as a table needs them again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    if before is None:
+        yield
+        return
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as a compressed table into the shared folder and reads it back.
 
@@ -56,7 +75,8 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -75,15 +95,13 @@ class Scope:
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[Scope]:
-    """Removes what is staged inside when the block ends, and lets Spark drop the shuffle files of plans nobody holds any more."""
+    """Removes what is staged inside when the block ends."""
     scope = Scope(spark)
     try:
         yield scope
     finally:
         for path in set(_made) - scope.before - scope.kept:
             _remove(*_made.pop(path), path)
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
 
 
 @contextmanager
@@ -105,6 +123,13 @@ def plain_unions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    """Partitions that an explicit repartition should have."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, as the optimiser knows them; 0 where it cannot tell."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    known = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in known if n < 1 << 60)
+
+
+def shuffle_width(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Partitions that an explicit repartition of data made from ``inputs`` should have: the session's number, more where a partition would stand for over ``PARTITION_BYTES`` of input."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")), min(MOST_PARTITIONS, -(-sum(map(input_bytes, inputs)) // PARTITION_BYTES)))
