@@ -1,41 +1,50 @@
 """A mixture of sources with target shares of all tokens.
 
 Every source gets a quota of tokens; its documents are taken in a random but fixed order, whole passes one after
-the other, until the quota is reached, never in more passes than allowed. The result is interleaved by Pfair scheduling: each
-source's tokens are cut in blocks, block i of a source with weight w is released at slot floor((i-1)/w) and due at
-ceil(i/w), and every slot goes to the released block that is due first. The schedule repeats after ``SLOTS`` slots, so it is made
-once for all data. At every point each source is less than one block (and half a document, as none is cut) from its share.
+the other, as long as they fit the quota, and what is left is filled with the documents whose sizes fit it best; never in more
+passes than allowed. The result is interleaved by Pfair scheduling: each source's tokens are cut in blocks; with n of all N blocks, its block i is
+released at slot floor((i-1)N/n) and due at slot ceil(iN/n), and every slot goes to the released block that is due first. Weights are the exact fractions
+n/N, so the schedule ends with the mixture, and at every slot each source is less than one block from its share (a document that
+is longer than the rest of its block reaches into the next).
 """
 
 from __future__ import annotations
 
 import math
+from heapq import heapify, heappop, heappush
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Slots of the repeating schedule (weights are rounded to this), tokens per block, cuts of a source's order.
-SLOTS, BLOCK_TOKENS, CUTS = 1000, 4096, 1024
+#: Tokens per block, cuts of a source's order, and the number of blocks from which on blocks grow instead (the schedule is made on the driver).
+BLOCK_TOKENS, CUTS, MOST_BLOCKS = 4096, 1024, 1 << 21
 MOST_SOURCES = 500
-
-
-def pfair_schedule(weights: dict[str, float], slots: int = SLOTS) -> dict[str, list[int]]:
-    """Slots of each source, ascending; together they are all slots once. Weights are scaled to sum 1; every source gets a slot at least."""
-    total = sum(weights.values())
-    exact = {s: w / total * slots for s, w in weights.items()}
-    n = {s: max(1, math.floor(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (n[s] - exact[s], s))[: max(0, slots - sum(n.values()))]:
-        n[s] += 1
-    while sum(n.values()) > slots:
-        n[max(n, key=lambda s: (n[s], s))] -= 1
-    out: dict[str, list[int]] = {s: [] for s in n}
-    for t in range(slots):
-        released = [s for s in n if len(out[s]) < n[s] and len(out[s]) * slots // n[s] <= t]
-        # due slot of the next block; ties to the larger weight, then by name
-        pick = min(released, key=lambda s: (-(-(len(out[s]) + 1) * slots // n[s]), -n[s], s))
-        out[pick].append(t)
-    return out
+#: Share reached, relative to the target, that counts as met.
+TOLERANCE = 0.01
+
+
+def pfair_schedule(blocks: dict[str, int]) -> dict[str, np.ndarray]:
+    """Slots of each source's blocks, ascending; together they are all slots once. Exact: no weight is rounded."""
+    names = sorted(s for s, n in blocks.items() if n > 0)
+    n, total = [blocks[s] for s in names], sum(blocks[s] for s in names)
+    out, done = [np.zeros(k, np.int64) for k in n], [0] * len(names)
+    # (due slot of the next block, larger weight first, by name)
+    ready = [(-(-total // k), -k, j) for j, k in enumerate(n)]
+    heapify(ready)
+    waiting: list[tuple[int, int]] = []
+    for t in range(total):
+        while waiting and waiting[0][0] <= t:
+            _, j = heappop(waiting)
+            heappush(ready, (-(-(done[j] + 1) * total // n[j]), -n[j], j))
+        _, k, j = heappop(ready)
+        out[j][done[j]] = t
+        done[j] += 1
+        if done[j] < n[j]:
+            heappush(waiting, (done[j] * total // n[j], j))
+    return dict(zip(names, out, strict=True))
 
 
 def _quotas(available: dict[str, int], targets: dict[str, tuple[float, int]], total: int | None) -> dict[str, int]:
@@ -59,6 +68,25 @@ def _targets(targets: DataFrame) -> dict[str, tuple[float, int]]:
     return {r["source"]: (r["w"] or 0.0, r["r"] or 0) for r in rows}
 
 
+def _fill(rest: DataFrame, gaps: dict[str, int]) -> list[tuple]:
+    """Turns (``source, pass_no, doc_id, n_tokens``) that fill each source's gap: again and again the longest that fits.
+
+    One turn of each size that fits is looked at; a gap is shorter than the document that did not fit it, so the sizes are few.
+    """
+    fits = rest.where(F.col("n_tokens") <= _by_source(gaps, "bigint")).groupBy("source", "n_tokens").agg(F.min(F.struct("pass_no", "doc_id")).alias("m"))
+    by_source: dict[str, list] = {}
+    for r in fits.collect():
+        by_source.setdefault(r["source"], []).append((r["n_tokens"], *r["m"]))
+    out = []
+    for source, turns in sorted(by_source.items()):
+        gap = gaps[source]
+        for n, pass_no, doc in sorted(turns, key=lambda t: -t[0]):
+            if n <= gap:
+                out.append((source, pass_no, doc, n))
+                gap -= n
+    return out
+
+
 def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 7) -> DataFrame:
     """``slot, source, doc_id, pass_no, n_tokens, start``: the mixture; order by ``slot, start`` to read it.
 
@@ -67,6 +95,7 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, b
     comes at most ``max_repeats`` times, once per pass. start: tokens of the source before it. With ``total_tokens`` larger than a source can
     serve, that source gives all it may and falls short. Repeated ids count each for itself.
     """
+    spark = sizes.sparkSession
     wanted = _targets(targets)
     usable = sizes.where(F.col("source").isin(list(wanted)) & (F.col("n_tokens") > 0))
     available = {r["source"]: r["n"] for r in usable.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}  # at most one row per target
@@ -78,34 +107,52 @@ def mix(sizes: DataFrame, targets: DataFrame, total_tokens: int | None = None, b
     cuts = turns.groupBy("source", "pass_no", "cut").agg(F.sum("n_tokens").alias("n"))
     before = Window.partitionBy("source").orderBy("pass_no", "cut").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cuts.select("source", "pass_no", "cut", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    # a cut that begins beyond the quota is not needed
-    offsets = offsets.where(F.col("offset") < _by_source(quotas, "bigint"))
     inside = Window.partitionBy("source", "pass_no", "cut").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    quota = _by_source(quotas, "bigint")
     placed = turns.join(offsets, ["source", "pass_no", "cut"]).withColumn("start", F.col("offset") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    taken = placed.where(F.col("start") + F.col("n_tokens") / 2 < _by_source(quotas, "bigint"))
-    slots = pfair_schedule({s: float(q) for s, q in quotas.items()}) if quotas else {}
-    table = F.create_map(*(x for s, v in sorted(slots.items()) for x in (F.lit(s), F.array(*map(F.lit, v))))) if slots else F.create_map().cast("map<string,array<int>>")
-    mine = F.try_element_at(table, F.col("source"))
-    block = F.floor(F.col("start") / block_tokens)
-    slot = F.floor(block / F.size(mine)) * SLOTS + F.get(mine, F.pmod(block, F.size(mine)).cast("int"))
-    return taken.select(slot.cast("bigint").alias("slot"), "source", "doc_id", "pass_no", "n_tokens", "start")
+    # the first documents in order, as far as they fit as a whole
+    taken = placed.where(F.col("start") + F.col("n_tokens") <= quota).select("source", "pass_no", "doc_id", "n_tokens", "start")
+    got = {r["source"]: r["n"] for r in taken.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    gaps = {s: q - got.get(s, 0) for s, q in quotas.items() if q > got.get(s, 0)}
+    rows, full = [], {s: got.get(s, 0) for s in quotas}
+    for s, pass_no, doc, n in _fill(placed.where(F.col("start") + F.col("n_tokens") > quota), gaps) if gaps else ():
+        rows.append((s, pass_no, doc, n, full[s]))
+        full[s] += n
+    taken = taken.unionByName(spark.createDataFrame(rows, taken.schema))
+    block_tokens = max(block_tokens, -(-sum(full.values()) // MOST_BLOCKS))
+    # a document belongs to the block in which it begins
+    slots = pfair_schedule({s: -(-n // block_tokens) for s, n in full.items()})
+    names = sorted(slots)
+    table = pa.table({
+        "source": pa.array(np.repeat(np.array(names, object), [len(slots[s]) for s in names]), pa.string()),
+        "block": pa.array(np.concatenate([np.arange(len(slots[s])) for s in names]) if names else [], pa.int64()),
+        "slot": pa.array(np.concatenate([slots[s] for s in names]) if names else [], pa.int64()),
+    })
+    schedule = spark.createDataFrame(table, "source string, block bigint, slot bigint")
+    return taken.withColumn("block", F.floor(F.col("start") / block_tokens)).join(schedule, ["source", "block"]).select("slot", "source", "doc_id", "pass_no", "n_tokens", "start")
 
 
 def stock(sizes: DataFrame, targets: DataFrame) -> int:
     """Tokens of all documents of the target sources, each once: the total of a mixture that puts volume before shares."""
-    return sizes.join(F.broadcast(targets.select("source")), "source", "left_semi").agg(F.sum("n_tokens")).first()[0] or 0
+    return sizes.where(F.col("source").isin(list(_targets(targets)))).agg(F.sum("n_tokens")).first()[0] or 0
 
 
 def share_report(mixed: DataFrame, sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """``source, target_share, max_repeats, n_documents, n_tokens, actual_share, most_uses, available_tokens, met`` for every target."""
+    """``source, target_share, max_repeats, n_documents, n_tokens, actual_share, most_uses, available_tokens, met, short, even_share`` for every target.
+
+    met: the share is within ``TOLERANCE`` of the target, on either side. short: the source has given all it may. even_share: what the source
+    should have once the short ones have given theirs: its target's part of what is left (a short source: what it has).
+    """
     per_document = mixed.groupBy("source", "doc_id").agg(F.count("*").alias("uses"), F.sum("n_tokens").alias("t"))
     got = per_document.groupBy("source").agg(F.sum("uses").alias("n_documents"), F.sum("t").alias("n_tokens"), F.max("uses").alias("most_uses"))
     stock = sizes.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
-    whole = mixed.agg(F.sum("n_tokens").alias("whole"))
-    zero = F.lit(0)
-    joined = targets.select("source", "target_share", "max_repeats").join(got, "source", "left").join(stock, "source", "left").crossJoin(F.broadcast(whole))  # ``whole`` is one row
-    share = F.coalesce(F.try_divide(F.coalesce("n_tokens", zero), "whole"), F.lit(0.0))
-    return joined.select(
-        "source", "target_share", "max_repeats", F.coalesce("n_documents", zero).alias("n_documents"), F.coalesce("n_tokens", zero).alias("n_tokens"), F.round(share, 6).alias("actual_share"),
-        F.coalesce("most_uses", zero).alias("most_uses"), F.coalesce("available_tokens", zero).alias("available_tokens"), (share >= F.col("target_share") * 0.99).alias("met"),
+    filled = {c: F.coalesce(c, F.lit(0)) for c in ("n_documents", "n_tokens", "most_uses", "available_tokens")}
+    rows = targets.select("source", "target_share", "max_repeats").join(got, "source", "left").join(stock, "source", "left").withColumns(filled)
+    every = Window.partitionBy()  # one row per target
+    rows = rows.withColumn("short", F.col("n_tokens") >= F.col("available_tokens") * F.greatest("max_repeats", F.lit(0))).withColumn("share", F.coalesce(F.try_divide("n_tokens", F.sum("n_tokens").over(every)), F.lit(0.0)))
+    given, wanted = F.sum(F.when(F.col("short"), F.col("share")).otherwise(0.0)).over(every), F.sum(F.when(F.col("short"), 0.0).otherwise(F.col("target_share"))).over(every)
+    even = F.when(F.col("short"), F.col("share")).otherwise(F.coalesce(F.try_divide(F.col("target_share") * (1 - given), wanted), F.lit(0.0)))
+    return rows.select(
+        "source", "target_share", "max_repeats", "n_documents", "n_tokens", F.round("share", 6).alias("actual_share"), "most_uses", "available_tokens",
+        (F.abs(F.col("share") - F.col("target_share")) <= F.col("target_share") * TOLERANCE).alias("met"), "short", F.round(even, 6).alias("even_share"),
     )

@@ -138,12 +138,18 @@ def test_tokens(spark):
     assert n[1] == 3 and n[2] == n[3] == 0 and n[4] > 1000
 
 
-def test_pfair_stays_within_a_block():
-    w = {"a": 0.37, "b": 0.3, "c": 0.2, "d": 0.1, "e": 0.03}
-    slots = pfair_schedule(w, 100)
-    assert sorted(t for v in slots.values() for t in v) == list(range(100))
+@pytest.mark.parametrize("blocks", [{"a": 37, "b": 30, "c": 20, "d": 10, "e": 3}, {"a": 450_017, "b": 320_011, "c": 150_003, "d": 79_100, "e": 469, "f": 400}, {"a": 7, "b": 0}, {}])
+def test_pfair_stays_within_a_block(blocks):
+    """A million blocks with weights down to 0.04 %: no source is ever a block ahead or behind."""
+    import numpy as np
+
+    slots, total = pfair_schedule(blocks), sum(blocks.values())
+    every = np.sort(np.concatenate([*slots.values(), np.zeros(0, np.int64)]))
+    assert (every == np.arange(total)).all()
     for s, v in slots.items():
-        assert all(abs(sum(x <= t for x in v) - (t + 1) * len(v) / 100) < 1 for t in range(100)), s
+        k, n = np.arange(1, len(v) + 1), blocks[s]
+        # just before and just after each of its slots, in units of 1/total blocks
+        assert ((k - 1) * total - v * n > -total).all() and (k * total - (v + 1) * n < total).all(), s
 
 
 def test_mix(spark):
@@ -155,7 +161,7 @@ def test_mix(spark):
     report = {r["source"]: r for r in share_report(m, s, t).collect()}
     small = sum(n for _, c, n in sizes if c == "small")
     assert report["small"]["n_tokens"] == 3 * small and report["small"]["most_uses"] == 3
-    assert abs(report["big"]["n_tokens"] - 6 * small) <= 150 and report["big"]["most_uses"] == 1
+    assert abs(report["big"]["n_tokens"] - 6 * small) <= 50 and report["big"]["most_uses"] == 1 and report["small"]["short"] and not report["big"]["short"]
     assert report["gone"]["n_tokens"] == 0 and not report["gone"]["met"] and report["big"]["met"]
     # read in order, no source strays from its share by more than a block and a document
     seen, total = Counter(), 0
@@ -198,7 +204,7 @@ def test_p9_mix_puts_volume_first(spark, tmp_path):
     # a total of 41 documents: 0.8 of them are 33, and the small one's share of 8 is cut off at three uses
     assert uses == {"big": 33, "small": 3}
     met = {r["source"]: (r["met"], r["most_uses"]) for r in queries.p9_shares(spark, str(tmp_path)).collect()}
-    assert met == {"big": (True, 1), "small": (False, 3)}
+    assert met == {"big": (False, 1), "small": (False, 3)}
     assert {r["source"]: r["count"] for r in queries.p9_mix_by_share(spark, str(tmp_path)).groupBy("source").count().collect()} == {"big": 12, "small": 3}
 
 
