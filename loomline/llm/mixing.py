@@ -69,11 +69,11 @@ def _targets(targets: DataFrame) -> dict[str, tuple[float, int]]:
 
 
 def _fill(rest: DataFrame, gaps: dict[str, int]) -> list[tuple]:
-    """Turns (``source, pass_no, doc_id, n_tokens``) that fill each source's gap: again and again the longest that fits.
+    """Turns (``source, pass_no, doc_id, n_tokens``) that fill each source's gap: again and again the longest that fits, then one that overshoots by less than is missing.
 
-    One turn of each size that fits is looked at; a gap is shorter than the document that did not fit it, so the sizes are few.
+    One turn of each size is looked at; a gap is shorter than the document that did not fit it, so the sizes are few.
     """
-    fits = rest.where(F.col("n_tokens") <= _by_source(gaps, "bigint")).groupBy("source", "n_tokens").agg(F.min(F.struct("pass_no", "doc_id")).alias("m"))
+    fits = rest.where(F.col("n_tokens") < 2 * _by_source(gaps, "bigint")).groupBy("source", "n_tokens").agg(F.min(F.struct("pass_no", "doc_id")).alias("m"))
     by_source: dict[str, list] = {}
     for r in fits.collect():
         by_source.setdefault(r["source"], []).append((r["n_tokens"], *r["m"]))
@@ -84,6 +84,10 @@ def _fill(rest: DataFrame, gaps: dict[str, int]) -> list[tuple]:
             if n <= gap:
                 out.append((source, pass_no, doc, n))
                 gap -= n
+        over = [t for t in turns if t[0] < 2 * gap and (source, *t[1:], t[0]) not in out]
+        if over:
+            n, pass_no, doc = min(over, key=lambda t: abs(t[0] - gap))
+            out.append((source, pass_no, doc, n))
     return out
 
 

@@ -72,12 +72,14 @@ def p5_daily(spark: SparkSession, d: str) -> DataFrame:
     return _admitted(spark, d, sorted(r["created_at"] for r in days)[:-1])
 
 
-_FIELDS = ["title", "source", "publisher"]
+#: Collectors claim titles and publishers, publishers claim the collector.
+_CLAIMANTS = {"title": "source", "source": "publisher", "publisher": "source"}
+_FIELDS = list(_CLAIMANTS)
 
 
 def _resolved(spark: SparkSession, d: str) -> DataFrame:
     raw = _table(spark, d, "raw_news")
-    return resolve(raw, headline_groups(raw), _FIELDS, "source")
+    return resolve(raw, headline_groups(raw), _CLAIMANTS)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,32 +1,27 @@
 """One surviving record per group of copies, field by field.
 
-Latent two-sided quality model: a value of a field in a group is true or not; a source that has the group either
-asserts the value or not. Each source has, per field, a sensitivity (chance to assert a true value) and a specificity
-(chance to leave a false one). Expectation-maximisation over all groups infers them and the posterior of each value.
-More than one value may be true: all with a posterior of one half or more are retained, the best is the survivor.
-
-A value's posterior depends on the sets of sources that assert it and that have the group. Both are bounded by the number of
-modelled sources, so values with the same two sets are counted together before the iterations, and
-an iteration is one pass over these few patterns.
+Latent two-sided quality model: a value of a field in a group is true or not; a claimant that has the group either
+asserts the value or not. Each claimant has, per field, a sensitivity (chance to assert a true value) and a specificity
+(chance to leave a false one). Expectation-maximisation over all groups infers them and the posterior of each value, starting from the
+share of a group's claimants that assert it. More than one value may be true: all with a posterior of one half or more are
+retained, the best is the survivor.
+
+Who claims a field is a column of its own (collectors claim titles and publishers, publishers claim the source), so that no column vouches for itself.
+A value's posterior depends on who asserts it and who has the group. Groups in which the same claimants assert in the same
+way are one pattern and counted together before the iterations. An iteration is a few joins over the patterns' claims; its
+work grows with the claims, never with the product of values and claimants, and the number of claimants is not limited.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.runtime import stage_table
+from loomline.runtime import plain_unions, stage_table
 
-#: Sources with a quality of their own, the most frequent ones; the others share one, as do blank names.
-MODELLED = 1000
-ROUNDS = 12
+ROUNDS = 8
 #: Beta priors: sensitivity, specificity (as counts of hits and misses), share of true values.
-PRIOR_SENSITIVITY, PRIOR_SPECIFICITY, PRIOR_TRUTH = (8.0, 4.0), (9.0, 1.0), (2.0, 2.0)
-OTHER = "other"
+PRIOR_SENSITIVITY, PRIOR_SPECIFICITY, PRIOR_TRUTH = (2.0, 1.0), (2.0, 1.0), (2.0, 2.0)
 
 
 def _clean(name: Column) -> Column:
@@ -37,110 +32,92 @@ def _blank(value: Column) -> Column:
     return F.regexp_replace(F.coalesce(value, F.lit("")), r"(?U)\s+", "") == ""
 
 
-def claims(records: DataFrame, groups: DataFrame, fields: list[str], source: str, id_column: str = "id", recency: str = "created_at") -> DataFrame:
-    """``first_id, field_name, value, claimer, n, best_id, last_at``: who asserts what, copies counted. A blank value is ''."""
+def claims(records: DataFrame, groups: DataFrame, claimants: dict[str, str], id_column: str = "id", recency: str = "created_at") -> DataFrame:
+    """``first_id, field_name, value, s, n, best_id, last_at``: who asserts what, copies counted.
+
+    ``claimants``: the column that claims each field. s: hash of the claimant's name (differences in case, space and punctuation ignored;
+    blank names are one). A blank value is ''.
+    """
     several = groups.groupBy("first_id").agg(F.count("*").alias("c")).where("c > 1").select("first_id")
     linked = groups.join(several, "first_id")
-    values = F.array(*(F.struct(F.lit(f).alias("field_name"), F.when(_blank(F.col(f)), "").otherwise(F.col(f)).alias("value")) for f in fields))
-    rows = records.select(F.col(id_column).cast("bigint").alias("id"), _clean(F.col(source)).alias("claimer"), F.unix_micros(F.col(recency)).alias("at"), values.alias("vs"))
+    values = F.array(*(F.struct(F.lit(f).alias("field_name"), F.when(_blank(F.col(f)), "").otherwise(F.col(f)).alias("value"), F.xxhash64(_clean(F.col(c))).alias("s")) for f, c in claimants.items()))
+    rows = records.select(F.col(id_column).cast("bigint").alias("id"), F.unix_micros(F.col(recency)).alias("at"), values.alias("vs"))
     # ids are unique; fields are exploded after the join, so that the join moves each record once
-    long = linked.join(rows, "id").select("first_id", "id", "claimer", "at", F.explode("vs").alias("v")).select("first_id", "id", "claimer", "at", "v.*")
-    return long.groupBy("first_id", "field_name", "value", "claimer").agg(F.count("*").alias("n"), F.min("id").alias("best_id"), F.max("at").alias("last_at"))
-
-
-def _modelled(told: DataFrame, most: int) -> list[str]:
-    rows = told.where(F.col("claimer") != "").groupBy("claimer").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "claimer").limit(most).collect()
-    return sorted(r["claimer"] for r in rows)
-
-
-class Quality:
-    """Sensitivity and specificity per (field, source), and the share of true values per field."""
-
-    def __init__(self, fields: list[str], n_sources: int) -> None:
-        shape = (len(fields), n_sources)
-        self.sensitivity = np.full(shape, PRIOR_SENSITIVITY[0] / sum(PRIOR_SENSITIVITY))
-        self.specificity = np.full(shape, PRIOR_SPECIFICITY[0] / sum(PRIOR_SPECIFICITY))
-        self.truth = np.full(len(fields), 0.5)
-
-    def posterior(self, field: int, asserting: np.ndarray, having: np.ndarray) -> float:
-        """Chance that a value is true; sources by number."""
-        sen, spe = self.sensitivity[field], self.specificity[field]
-        silent = np.setdiff1d(having, asserting)
-        odds = np.log(self.truth[field]) - np.log1p(-self.truth[field])
-        odds += np.log(sen[asserting] / (1 - spe[asserting])).sum() + np.log((1 - sen[silent]) / spe[silent]).sum()
-        return float(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
-
-
-def _expect(quality: Quality, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Expected counts per (field, source): true and asserted, true and silent, false and asserted, false and silent."""
-    total = np.zeros((*quality.sensitivity.shape, 4))
-    for batch in batches:
-        for f, a, h, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            a, h = np.array(a, int), np.array(h, int)
-            p = quality.posterior(f, a, h)
-            silent = np.setdiff1d(h, a)
-            total[f, a] += np.array([p, 0, 1 - p, 0]) * n
-            total[f, silent] += np.array([0, p, 0, 1 - p]) * n
-    f, s = np.nonzero(total.sum(axis=2))
-    yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(s), *(pa.array(total[f, s, k]) for k in range(4))], ["f", "s", "ta", "ts", "fa", "fs"])
-
-
-def fit_quality(patterns: DataFrame, fields: list[str], n_sources: int, rounds: int = ROUNDS) -> Quality:
-    """Expectation-maximisation over ``f, asserting, having, n``. Only sums per (field, source) reach the driver."""
-    quality = Quality(fields, n_sources)
+    long = linked.join(rows, "id").select("first_id", "id", "at", F.explode("vs").alias("v")).select("first_id", "id", "at", "v.*")
+    return long.groupBy("first_id", "field_name", "value", "s").agg(F.count("*").alias("n"), F.min("id").alias("best_id"), F.max("at").alias("last_at"))
+
+
+def _sum_of_hashes(column: str) -> Column:
+    """The same for equal bags of hashes, in whatever order."""
+    return F.xxhash64(F.sum(F.col(column).cast("decimal(20,0)")).cast("string"), F.count("*"))
+
+
+def _log_odds(sensitivity: Column, specificity: Column) -> tuple[Column, Column]:
+    """What an assertion and a silence add to the log odds of a value."""
+    return F.log(sensitivity / (1 - specificity)), F.log((1 - sensitivity) / specificity)
+
+
+def fit_quality(asserted: DataFrame, having: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """Expectation-maximisation over patterns; returns ``pid, aid, posterior`` and ``field_name, s, sensitivity, specificity``.
+
+    asserted: ``pid, field_name, aid, w, s``, claimant s asserts the values aid of pattern pid, of which there are w. having: ``pid, field_name, s, k``,
+    the claimants of a pattern, and how many. Both are staged tables.
+    """
+    values = stage_table(asserted.groupBy("pid", "field_name", "aid").agg(F.first("w").alias("w"), F.count("*").alias("a")), "values")
+    size = having.groupBy("pid").agg(F.count("*").alias("k"))
+    # first guess: the share of the claimants that assert the value
+    posterior = values.join(size, "pid").select("pid", "field_name", "aid", "w", (F.col("a") / F.col("k")).alias("p"))
     for _ in range(rounds):
-        expected = patterns.mapInArrow(lambda b, q=quality: _expect(q, b), "f bigint, s bigint, ta double, ts double, fa double, fs double")
-        sums = expected.groupBy("f", "s").agg(*(F.sum(c).alias(c) for c in ("ta", "ts", "fa", "fs"))).collect()
-        after = Quality(fields, n_sources)
-        true, false = np.zeros(len(fields)), np.zeros(len(fields))
-        for r in sums:
-            f, s = r["f"], r["s"]
-            after.sensitivity[f, s] = (r["ta"] + PRIOR_SENSITIVITY[0]) / (r["ta"] + r["ts"] + sum(PRIOR_SENSITIVITY))
-            after.specificity[f, s] = (r["fs"] + PRIOR_SPECIFICITY[0]) / (r["fs"] + r["fa"] + sum(PRIOR_SPECIFICITY))
-            true[f] += r["ta"]
-            false[f] += r["fa"]
-        after.truth = (true + PRIOR_TRUTH[0]) / (true + false + sum(PRIOR_TRUTH))
-        done = np.abs(after.sensitivity - quality.sensitivity).max(initial=0) < 1e-3 and np.abs(after.specificity - quality.specificity).max(initial=0) < 1e-3
-        quality = after
-        if done:
-            break
-    return quality
-
-
-def resolve(records: DataFrame, groups: DataFrame, fields: list[str], source: str, modelled: int = MODELLED) -> DataFrame:
-    """``first_id, field_name, value, posterior, support, best_id, last_at, n_values, rank``: every value that a group of two or more holds.
-
-    rank 1 is the survivor: highest posterior, then most copies, most recent, longest, smallest id. A blank is the value '', is
+        posterior = stage_table(posterior, "posterior")
+        per_pattern = posterior.groupBy("pid").agg(F.sum(F.col("w") * F.col("p")).alias("t"), F.sum(F.col("w") * (1 - F.col("p"))).alias("f"))
+        said = asserted.join(posterior.select("pid", "aid", "p"), ["pid", "aid"]).groupBy("field_name", "s").agg(F.sum(F.col("w") * F.col("p")).alias("ta"), F.sum(F.col("w") * (1 - F.col("p"))).alias("fa"))
+        held = having.join(per_pattern, "pid").groupBy("field_name", "s").agg(F.sum("t").alias("t"), F.sum("f").alias("f"))
+        sen = (F.coalesce("ta", F.lit(0.0)) + PRIOR_SENSITIVITY[0]) / (F.col("t") + sum(PRIOR_SENSITIVITY))
+        spe = (F.col("f") - F.coalesce("fa", F.lit(0.0)) + PRIOR_SPECIFICITY[0]) / (F.col("f") + sum(PRIOR_SPECIFICITY))
+        quality = stage_table(held.join(said, ["field_name", "s"], "left").select("field_name", "s", sen.alias("sensitivity"), F.greatest(spe, F.lit(1e-6)).alias("specificity")), "quality")
+        truth = posterior.groupBy("field_name").agg(((F.sum(F.col("w") * F.col("p")) + PRIOR_TRUTH[0]) / (F.sum("w") + sum(PRIOR_TRUTH))).alias("truth"))
+        said_odds, silent_odds = _log_odds(F.col("sensitivity"), F.col("specificity"))
+        odds = quality.select("field_name", "s", silent_odds.alias("ls"), (said_odds - silent_odds).alias("la"))
+        base = having.join(odds.drop("la"), ["field_name", "s"]).groupBy("pid").agg(F.sum("ls").alias("base"))
+        more = asserted.join(odds.drop("ls"), ["field_name", "s"]).groupBy("pid", "field_name", "aid").agg(F.first("w").alias("w"), F.sum("la").alias("more"))
+        total = F.log(F.col("truth") / (1 - F.col("truth"))) + F.col("base") + F.col("more")
+        posterior = more.join(base, "pid").join(F.broadcast(truth), "field_name").select("pid", "field_name", "aid", "w", (1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), total))))).alias("p"))  # one row per field
+    return stage_table(posterior.select("pid", "aid", F.col("p").alias("posterior")), "posterior"), quality
+
+
+def resolve(records: DataFrame, groups: DataFrame, claimants: dict[str, str]) -> DataFrame:
+    """``first_id, field_name, value, posterior, support, best_id, last_at, n_values, best``: every value that a group of two or more holds.
+
+    best marks the survivor: highest posterior, then most copies, most recent, longest, smallest id. A blank is the value '', is
     asserted by nobody (posterior 0) and survives only where nothing else is stored. n_values counts different stored values, all blanks as one.
-    ``groups``: ``id, first_id``. Groups of one record give no rows.
+    ``groups``: ``id, first_id``; ``claimants``: each field and the column that claims it. Groups of one record give no rows.
     """
-    told = stage_table(claims(records, groups, fields, source), "claims")
-    names = _modelled(told, modelled)
-    number = F.create_map(*(x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i)))) if names else F.create_map().cast("map<string,int>")
-    coded = told.withColumn("s", F.coalesce(F.try_element_at(number, F.col("claimer")), F.lit(len(names))))
-    f = F.array_position(F.array(*map(F.lit, fields)), F.col("field_name")) - 1
-    # sets of source numbers: at most ``modelled`` + 1 elements each
-    having = coded.where(F.col("value") != "").groupBy("first_id", "field_name").agg(F.array_sort(F.collect_set("s")).alias("having"))
-    values = coded.groupBy("first_id", "field_name", "value").agg(F.array_sort(F.collect_set("s")).alias("asserting"), F.sum("n").alias("support"), F.min("best_id").alias("best_id"), F.max("last_at").alias("last_at"))
-    facts = stage_table(values.join(having, ["first_id", "field_name"], "left").withColumn("f", f), "facts")
-    patterns = stage_table(facts.where(F.col("value") != "").groupBy("f", "asserting", "having").agg(F.count("*").alias("n")), "patterns")
-    quality = fit_quality(patterns, fields, len(names) + 1)
-    judged = patterns.mapInArrow(lambda batches: _judge(quality, batches), "f bigint, asserting array<int>, having array<int>, posterior double")
-    scored = facts.join(judged, ["f", "asserting", "having"], "left").withColumn("posterior", F.when(F.col("value") == "", 0.0).otherwise(F.col("posterior")))
-    best = scored.groupBy("first_id", "field_name").agg(
-        F.count("*").alias("n_values"),
-        F.max_by("value", F.struct("posterior", F.when(F.col("value") == "", 0).otherwise(1).alias("some"), "support", "last_at", F.length("value").alias("len"), (-F.col("best_id")).alias("low"), "value")).alias("top"),
-    )
+    with plain_unions(records.sparkSession):
+        return _resolve(records, groups, claimants)
+
+
+def _resolve(records: DataFrame, groups: DataFrame, claimants: dict[str, str]) -> DataFrame:
+    told = stage_table(claims(records, groups, claimants), "claims")
+    # aid: one number for the set of those who assert a value; pid: one for the bag of these sets in a group
+    values = told.groupBy("first_id", "field_name", "value").agg(_sum_of_hashes("s").alias("aid"), F.sum("n").alias("support"), F.min("best_id").alias("best_id"), F.max("last_at").alias("last_at"))
+    some = values.where("value != ''")
+    patterns = some.groupBy("first_id", "field_name").agg(_sum_of_hashes("aid").alias("bag")).select("first_id", "field_name", F.xxhash64("field_name", "bag").alias("pid"))
+    facts = stage_table(values.join(patterns, ["first_id", "field_name"], "left"), "facts")
+    # one group stands for each pattern
+    counted = facts.where("value != ''").groupBy("pid", "field_name", "aid").agg(F.count("*").alias("w"), F.min("first_id").alias("at"))
+    chosen = stage_table(counted, "patterns")
+    example = chosen.groupBy("pid", "field_name").agg(F.min("at").alias("first_id"))
+    shown = facts.where("value != ''").join(example, ["first_id", "field_name", "pid"], "left_semi").select("first_id", "field_name", "value", "pid", "aid")
+    shown = shown.join(told.select("first_id", "field_name", "value", "s"), ["first_id", "field_name", "value"]).select("pid", "field_name", "aid", "s").distinct()
+    asserted = stage_table(shown.join(chosen.select("pid", "aid", "w"), ["pid", "aid"]), "asserted")
+    having = stage_table(asserted.select("pid", "field_name", "s").distinct(), "having")
+    judged, _ = fit_quality(asserted, having)
+    scored = facts.join(judged, ["pid", "aid"], "left").withColumn("posterior", F.when(F.col("value") == "", 0.0).otherwise(F.col("posterior")))
+    order = F.struct("posterior", F.when(F.col("value") == "", 0).otherwise(1).alias("some"), "support", "last_at", F.length("value").alias("len"), (-F.col("best_id")).alias("low"), "value")
+    best = scored.groupBy("first_id", "field_name").agg(F.count("*").alias("n_values"), F.max_by("value", order).alias("top"))
     return scored.join(best, ["first_id", "field_name"]).select("first_id", "field_name", "value", "posterior", "support", "best_id", "last_at", "n_values", (F.col("value") == F.col("top")).alias("best"))
 
 
-def _judge(quality: Quality, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        f, a, h, _ = (c.to_pylist() for c in batch.columns)
-        p = [quality.posterior(i, np.array(x, int), np.array(y, int)) for i, x, y in zip(f, a, h, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(p, pa.float64())], ["f", "asserting", "having", "posterior"])
-
-
 def survivors(resolved: DataFrame, fields: list[str]) -> DataFrame:
     """``first_id`` and the surviving value of each field (NULL where every copy is blank): one row per group."""
     picked = resolved.where("best")

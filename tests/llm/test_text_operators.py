@@ -78,7 +78,7 @@ def test_survivors(spark):
         rows += [(g * 10 + k, f"Head {g}" + "!" * (k == 3), s, p, t) for k, (s, p) in enumerate([("good", f"P{g}"), ("fair", f"P{g}"), ("good ", " "), ("bad", f"X{g}")])]
     rows += [(900, "Alone", "good", "P", t), (901, None, "good", "P", t), (902, "Blank", "", "", t), (903, "blank", None, " ", None)]
     df = spark.createDataFrame(rows, NEWS).withColumn("value", F.lit(1))
-    out = resolve(df, headline_groups(df), ["title", "source", "publisher"], "source")
+    out = resolve(df, headline_groups(df), {"title": "source", "source": "publisher", "publisher": "source"})
     best = {r["first_id"]: r for r in survivors(out, ["title", "source", "publisher"]).collect()}
     assert set(best) == {g * 10 for g in range(30)} | {902}
     assert all(best[g * 10]["publisher"] == f"P{g}" and best[g * 10]["title"] == f"Head {g}" for g in range(30))
@@ -91,12 +91,78 @@ def test_survivors(spark):
             if len({(r[k] if r[k] and r[k].strip() else "") for r in group}) > 1:
                 want.add((g, f))
     assert differ == want
-    assert retained_values(out).where("field_name = 'publisher' AND value LIKE 'P%'").count() == 30
+    kept = retained_values(out).where("field_name = 'publisher'")
+    assert kept.where("value LIKE 'P%'").count() == 30
+    # what only the bad source says is judged false
+    assert kept.where("value LIKE 'X%'").count() == 0
+
+
+def planted(groups, seed):
+    """Each group's true publisher, and what seven collectors of known accuracy say of it: three careless ones copy the same mistake."""
+    random.seed(seed)
+    accuracy = {"a": 0.97, "b": 0.95, "c": 0.95, "d": 0.35, "e": 0.35, "f": 0.35, "g": 0.9}
+    rows, truth = [], {}
+    for g in range(groups):
+        truth[g * 10] = f"P{g}"
+        mistake = f"M{g}"
+        for k, s in enumerate(random.sample(sorted(accuracy), random.choice([2, 3, 5, 5, 6]))):
+            rows.append((g * 10 + k, f"Head {g}", s, f"P{g}" if random.random() < accuracy[s] else mistake, datetime(2026, 1, 1)))
+    first = {}
+    for r in rows:
+        first.setdefault(r[0] // 10, r[0])
+    return rows, {first[g // 10]: t for g, t in truth.items()}
+
+
+def test_quality_model_beats_the_majority(spark):
+    rows, truth = planted(400, 5)
+    df = spark.createDataFrame(rows, NEWS)
+    out = resolve(df, headline_groups(df), {"publisher": "source"}).cache()
+    best = {r["first_id"]: r["publisher"] for r in survivors(out, ["publisher"]).collect()}
+    votes = defaultdict(Counter)
+    for r in rows:
+        votes[r[0] // 10 * 10][r[3]] += 1
+    right = sum(best[g] == t for g, t in truth.items())
+    majority = sum(max(votes[g // 10 * 10].items(), key=lambda v: (v[1], v[0]))[0] == t for g, t in truth.items())
+    assert right > majority and right >= 0.9 * len(truth), (right, majority)
+    kept = {(r["first_id"], r["value"]) for r in retained_values(out).collect()}
+    true_kept = sum((g, t) in kept for g, t in truth.items()) / len(truth)
+    false_kept = sum((g, t.replace("P", "M")) in kept for g, t in truth.items()) / sum(len(v) > 1 for v in votes.values())
+    assert true_kept >= 0.9 and false_kept <= 0.35, (true_kept, false_kept)
+
+
+def test_quality_against_plain_arithmetic(spark):
+    """The table form gives the posteriors of a loop over groups, values and claimants."""
+    from math import exp, log
+
+    from loomline.llm import survivors as model
+
+    rows, _ = planted(60, 9)
+    df = spark.createDataFrame(rows, NEWS)
+    got = {(r["first_id"], r["value"]): r["posterior"] for r in resolve(df, headline_groups(df), {"publisher": "source"}).collect()}
+    said = defaultdict(lambda: defaultdict(set))
+    for r in rows:
+        said[min(x[0] for x in rows if x[0] // 10 == r[0] // 10)][r[3]].add(r[2])
+    p = {(g, v): len(a) / len(set().union(*vs.values())) for g, vs in said.items() for v, a in vs.items()}
+    for _ in range(model.ROUNDS):
+        sen, spe = {}, {}
+        for s in "abcdefg":
+            mine = [(g, v) for g, v in p if any(s in a for a in said[g].values())]
+            t, f = sum(p[x] for x in mine), sum(1 - p[x] for x in mine)
+            ta, fa = sum(p[g, v] for g, v in mine if s in said[g][v]), sum(1 - p[g, v] for g, v in mine if s in said[g][v])
+            sen[s] = (ta + model.PRIOR_SENSITIVITY[0]) / (t + sum(model.PRIOR_SENSITIVITY))
+            spe[s] = (f - fa + model.PRIOR_SPECIFICITY[0]) / (f + sum(model.PRIOR_SPECIFICITY))
+        truth = (sum(p.values()) + model.PRIOR_TRUTH[0]) / (len(p) + sum(model.PRIOR_TRUTH))
+        for g, v in p:
+            odds = log(truth / (1 - truth))
+            for s in set().union(*said[g].values()):
+                odds += log(sen[s] / (1 - spe[s])) if s in said[g][v] else log((1 - sen[s]) / spe[s])
+            p[g, v] = 1 / (1 + exp(-odds))
+    assert got.keys() == p.keys() and all(abs(got[k] - p[k]) < 1e-6 for k in p)
 
 
 def test_survivors_of_nothing(spark):
     df = spark.createDataFrame([], NEWS)
-    assert survivors(resolve(df, headline_groups(df), ["title"], "source"), ["title"]).count() == 0
+    assert survivors(resolve(df, headline_groups(df), {"title": "source"}), ["title"]).count() == 0
 
 
 @pytest.mark.parametrize("capacity,seed", [(10, 1), (64, 2), (2048, 3)])
