@@ -71,5 +71,16 @@ DOMESTIC_PUBLISHERS = [
     "지디넷", "블로터", "바이라인", "sbs비즈", "매경tv", "naver",
 ]
 
+# Publishers that an English report does not cite, tested by containment in any letter case.
+CITATION_BLOCKLIST = [
+    "Chosun", "Chosunbiz", "Dong-A", "JoongAng", "Korea Herald", "Korea Times", "Maeil", "Korea Economic", "Hankyung", "Seoul Economic",
+    "Asia Economic", "Financial News", "Herald Economy", "BusinessWatch", "The Bell", "Korea Financial Times", "Seoul Finance", "E-Today",
+    "Newspim", "MoneyToday", "Yonhap", "Infomax", "News1", "Newsis", "GEnews", "Edaily", "Digital Times", "Electronic Times", "ZDNet Korea",
+    "Bloter", "Byline Network", "SBS Biz", "MBN", "MK News", "YTN", "조선일보", "조선", "동아일보", "동아", "중앙일보", "중앙", "한국경제",
+    "매일경제", "매경", "한경", "서울경제", "아경", "아시아경제", "파이낸셜뉴스", "헤럴드경제", "비즈니스워치", "더벨", "한국금융신문", "서울파이낸스",
+    "이투데이", "뉴스핌", "머니투데이", "이데일리", "연합뉴스", "연합", "인포맥스", "뉴스1", "뉴시스", "전자신문", "디지털타임스", "지디넷코리아",
+    "블로터", "바이라인네트워크", "SBS비즈", "매경TV",
+]
+
 # Parts of the names of query parameters that a cleaned address keeps.
 KEPT_PARAMETERS = ["article_id", "office_id", "idxno", "id", "no", "seq"]

@@ -85,6 +85,11 @@ def is_domestic(publisher: Column | str, title: Column | str, names: list[str] =
     return F.coalesce(F.lower(_col(publisher)).rlike(_any_of(names)), F.lit(False)) | F.coalesce(_col(title).rlike("[가-힣]"), F.lit(False))
 
 
+def contains_any(text: Column | str, words: list[str]) -> Column:
+    """One of ``words`` occurs, in any letter case; false for NULL."""
+    return F.coalesce(F.lower(_col(text)).rlike(_any_of([w.lower() for w in words])), F.lit(False))
+
+
 def drop_reason(text: Column | str, words: list[str] = dims.DROP_WORDS, tags: list[str] = dims.DROP_TAGS) -> Column:
     """Why a record is dropped by its text, the first rule that holds; NULL to keep it."""
     t = _col(text)

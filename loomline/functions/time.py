@@ -29,6 +29,19 @@ def in_zone(ts: Column | str, zone: str, raw: Column | str | None = None) -> Col
     return F.coalesce(shown, _col(raw)) if raw is not None else shown
 
 
+def by_weekday(day: Column | str, ids: list[int]) -> Column:
+    """The id of the weekday, Monday first."""
+    return F.element_at(F.array(*map(F.lit, ids)), F.weekday(_col(day)) + 1)
+
+
+def page_timestamp(text: Column | str, as_of: datetime, zone: str = "UTC") -> Column:
+    """UTC time of a date as pages write it: with or without clock, with a two-digit year, or without one (that of ``as_of`` then counts). Wall clocks are those of ``zone``."""
+    d = F.regexp_replace(F.trim(_col(text)), "[-/]", ".")
+    d = F.when(d.rlike(r"^\d{1,2}\.\d{1,2}(\s|$)"), F.concat(F.lit(f"{as_of.year}."), d)).when(d.rlike(r"^\d{2}\.\d{1,2}\.\d{1,2}"), F.concat(F.lit("20"), d)).otherwise(d)
+    wall = F.coalesce(*(F.try_to_timestamp(d, F.lit(p)) for p in ("yyyy.M.d HH:mm:ss", "yyyy.M.d HH:mm", "yyyy.M.d")))
+    return F.to_utc_timestamp(wall, zone)
+
+
 def recent(ts: Column | str, as_of: datetime, hours: float) -> Column:
     """In the window before ``as_of``; records without a time pass."""
     return _col(ts).isNull() | (_col(ts) >= F.lit(as_of - timedelta(hours=hours)))

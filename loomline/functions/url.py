@@ -19,14 +19,13 @@ def url_key(url: Column | str) -> Column:
 
 def valid_url(url: Column | str) -> Column:
     """Scheme and host are there."""
-    u = _col(url)
-    return F.coalesce(F.try_parse_url(u, F.lit("PROTOCOL")).isNotNull() & F.try_parse_url(u, F.lit("HOST")).isNotNull(), F.lit(False))
+    return F.coalesce(_col(url).rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+"), F.lit(False))
 
 
 def clean_url(url: Column | str, kept: list[str] = dims.KEPT_PARAMETERS) -> Column:
     """Keeps parameters whose name contains one of ``kept`` (the first of each name) and drops the fragment."""
-    u = F.regexp_replace(_col(url), r"#.*$", "")
-    base, query = F.regexp_extract(u, r"^([^?]*)", 1), F.regexp_extract(u, r"\?(.*)$", 1)
+    u = F.regexp_replace(_col(url), r"(?s)#.*$", "")
+    base, query = F.regexp_extract(u, r"^([^?]*)", 1), F.regexp_extract(u, r"(?s)^[^?]*\?(.*)$", 1)
     name = lambda p: F.regexp_extract(p, "^([^=]*)", 1)
     pairs = F.filter(F.split(query, "&"), lambda p: name(p).rlike("|".join(kept)) & p.contains("="))
     names = F.transform(pairs, name)
@@ -46,4 +45,4 @@ def path_timestamp(url: Column | str) -> Column:
 
 
 def search_feed(query: Column | str, prefix: str, suffix: str) -> Column:
-    return F.concat(F.lit(prefix), F.url_encode(_col(query)), F.lit(suffix))
+    return F.concat(F.lit(prefix), F.replace(F.replace(F.url_encode(_col(query)), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~")), F.lit(suffix))

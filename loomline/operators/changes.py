@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomline.runtime import shuffle_width, stage_table
+
 MUTABLE = ["title", "snippet", "published", "search_rank", "collected_at"]
 
 
 def fold_upserts(log: DataFrame, order: list[str], key: str = "url") -> DataFrame:
-    """The state after applying a log of articles by ``key``.
+    """The state after applying a log of articles by ``key``; keys and titles count (and are stored) without white space around them.
 
     The first row of a key is inserted and fixes every column but ``MUTABLE``; a later row replaces those if its title differs from
     the current one. A row with an empty title changes the state once and freezes it. So the mutable columns are those of
     the first row of the last run of equal titles up to the first empty title.
     """
     w = Window.partitionBy(key).orderBy(*order)
-    title = F.coalesce("title", F.lit(""))
-    rows = log.where(F.length(F.trim(key)) > 0).withColumn("_t", title)
+    strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    rows = log.withColumns({key: strip(key), "title": F.coalesce(strip("title"), F.lit(""))}).where(F.length(key) > 0).withColumn("_t", F.col("title"))
     rows = rows.withColumn("_frozen", F.coalesce(F.max(F.col("_t") == "").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))).where("NOT _frozen")
     rows = rows.withColumn("_new", F.coalesce(F.col("_t") != F.lag("_t").over(w), F.lit(True)))
     at = F.struct(*order)
@@ -54,9 +56,10 @@ def delete_dropped(raw: DataFrame, processed: DataFrame) -> tuple[DataFrame, Dat
     return raw.join(dropped.select(F.col("ref_raw_id").alias("id")).distinct(), "id", "left_anti"), delete_ids(processed, dropped)
 
 
-def with_ids(df: DataFrame, order: list[str], start: int = 0, column: str = "id") -> DataFrame:
+def with_ids(df: DataFrame, order: list[str | Column], start: int = 0, column: str = "id") -> DataFrame:
     """Consecutive ids in ``order``, above ``start``: ranks within range partitions plus the counts before them, no single sorted task."""
-    laid = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
+    # staged: both branches below must see the same partitions
+    laid = stage_table(df.repartitionByRange(shuffle_width(df.sparkSession, df), *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()), "ids")
     counts = laid.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_first"))
     before = counts.select("_p", "_first", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     return laid.join(F.broadcast(before), "_p").withColumn(column, F.col("_m") - F.col("_first") + F.col("_b") + 1 + start).drop("_p", "_m", "_first", "_b")

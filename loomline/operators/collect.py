@@ -6,12 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomline.functions.text import split_suffix, strip_outlet, strip_tags, valid_title
 from loomline.functions.time import feed_timestamp, recent
+from loomline.functions.url import valid_url
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,10 @@ class SourceSpec:
     cap: int | None = None
     constants: dict[str, str] = field(default_factory=dict)
     blank_words: list[str] = field(default_factory=list)
+    #: feeds read in order until ``wanted`` addresses are there (all of them where it is None); zone of wall clocks without one
+    feeds: int = 1
+    wanted: int | None = None
+    zone: str = "UTC"
     hook: Callable[[DataFrame], DataFrame] | None = None
 
 
@@ -37,7 +42,10 @@ def collect(entries: DataFrame, spec: SourceSpec, as_of: datetime) -> DataFrame:
     """
     filled = lambda *names: F.coalesce(*(F.nullif(F.trim(n), F.lit("")) for n in names))
     rows = entries.withColumn("published", filled("published", "updated", "pubDate")).withColumn("url", filled("link", "id", "href"))
-    rows = rows.where(F.col("url").rlike("^https?://")).withColumn("published_ts", feed_timestamp("published")).where(recent("published_ts", as_of, spec.hours))
+    stamp = feed_timestamp("published")
+    if spec.zone != "UTC":  # a time that is written without zone is the outlet's wall clock
+        stamp = F.when(F.col("published").rlike(r"([+-]\d{2}:?\d{2}|[A-Z]{1,4})\s*$"), stamp).otherwise(F.to_utc_timestamp(stamp, spec.zone))
+    rows = rows.where(F.col("url").rlike("^https?://")).withColumn("published_ts", stamp).where(recent("published_ts", as_of, spec.hours))
     title = strip_outlet(strip_tags("title"), spec.outlets) if spec.outlets else strip_tags("title")
     summary = strip_tags(F.coalesce("summary", F.lit("")))
     if spec.summary_chars:
@@ -52,6 +60,8 @@ def collect(entries: DataFrame, spec: SourceSpec, as_of: datetime) -> DataFrame:
     if spec.hook:
         rows = spec.hook(rows)
     rows = first_url(rows)
+    if spec.wanted:
+        rows = waterfall(rows.withColumn("_g", F.lit(0)), spec.wanted, "_g").drop("_g")
     if spec.cap:
         rows = rows.orderBy("feed_ord", "pos").limit(spec.cap)
     return rows.withColumns({"source": F.lit(spec.name), **{k: F.lit(v) for k, v in spec.constants.items()}})
@@ -86,6 +96,18 @@ def top_per_group(rows: DataFrame, group: str, order: list, most: int) -> DataFr
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_rn") <= most).drop("_rn")
 
 
+def first_filled(*columns: str) -> Column:
+    """The first column that is neither NULL nor empty."""
+    return F.coalesce(*(F.nullif(c, F.lit("")) for c in columns))
+
+
+def article_error(title: str, url: str, source: str) -> Column:
+    """What is wrong with an article, the first fault; NULL if nothing is."""
+    strip = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    empty = [F.when(strip(c) == "", f"Empty required field: {n}") for n, c in (("title", title), ("url", url), ("source", source))]
+    return F.coalesce(*empty, F.when(~valid_url(strip(url)), F.concat(F.lit("Invalid URL format: "), strip(url))))
+
+
 def split_press(rows: DataFrame) -> DataFrame:
     """``title - press`` of search feeds into two columns; the source is the press name, else the topic."""
     title, press = split_suffix("title")

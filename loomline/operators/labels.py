@@ -13,10 +13,12 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from pyspark.sql.window import Window
 
 from loomline import dims
+from loomline.operators.changes import with_ids
 
 LABEL = StructType([StructField("id", LongType()), StructField("decision", StringType()), StructField("category", StringType()), StructField("reason", StringType())])
 _FENCE = re.compile(r"```(?:json)?\s*([\s\S]*?)\s*```")
-_TUPLE = re.compile(r'\[\s*(\d+)\s*,\s*(true|false|1|0)\s*,\s*"([^"]*)"\s*,\s*"([^"]*)"\s*\]', re.IGNORECASE)
+# Fixed value: what a label looks like in a reply that is no valid JSON; ids and words in either kind of quotes.
+_TUPLE = re.compile(r"""\[\s*["']?(\d+)["']?\s*,\s*(true|false|[01])\s*,\s*["']([^"',]+)["']\s*,\s*["']([^"']*)["']\s*\]""")
 
 #: A scorer gets (id, title) pairs and returns the text a model would.
 Scorer = Callable[[list[tuple[int, str]]], str]
@@ -82,6 +84,14 @@ def label_udf(categories: list[str] | None = None):
     return run
 
 
+def slices(rows: DataFrame, size: int = 50, most: int | None = None) -> DataFrame:
+    """``rows`` with ``batch``: newest id first in batches of ``size`` over the whole table, the first ``most`` rows if given. No task holds the whole order."""
+    placed = with_ids(rows, [F.desc("id")], start=-1, column="_k")
+    if most is not None:
+        placed = placed.where(F.col("_k") < most)
+    return placed.withColumn("batch", F.floor(F.col("_k") / size)).drop("_k")
+
+
 def batches_of(rows: DataFrame, size: int = 50, salts: int = 64) -> DataFrame:
     """``batch, ids, payload``: compact JSON of at most ``size`` rows. Numbered within salts, newest id first, so no single task sorts all."""
     w = Window.partitionBy("_s").orderBy(F.desc("id"))

@@ -6,6 +6,7 @@ import html
 import re
 from collections.abc import Iterator
 from datetime import date
+from functools import reduce
 from typing import Protocol
 
 import pandas as pd
@@ -33,6 +34,25 @@ def select_by_count(topics: DataFrame, most: int = 5) -> DataFrame:
     return topics.where(F.size("news_ids") > 0).withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).select(F.col("category").alias("section"), F.col("id").alias("topic_id"), "place")
 
 
+def executive_summary(topics: DataFrame, most: int = 10) -> DataFrame:
+    """The largest topics of all categories, as the section of the summary."""
+    top = topics.where(F.size("news_ids") > 0).orderBy(F.desc("original_count"), F.desc("id")).limit(most)
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("original_count"), F.desc("id")))  # ``most`` rows
+    return top.select(F.lit("Executive Summary").alias("section"), F.col("id").alias("topic_id"), place.alias("place"))
+
+
+def picks_map(*parts: DataFrame) -> DataFrame:
+    """One row ``picks map<section, array<topic_id>>`` from ``section, topic_id, place``; rows without a section are left out."""
+    rows = reduce(DataFrame.unionByName, parts).where("section IS NOT NULL")
+    lists = rows.groupBy("section").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "topic_id"))), lambda x: x["topic_id"]).alias("ids"))
+    return lists.agg(F.map_from_entries(F.collect_list(F.struct("section", "ids"))).alias("picks"))
+
+
+def picks_rows(picks: DataFrame) -> DataFrame:
+    """``section, topic_id`` of such a map."""
+    return picks.select(F.explode("picks").alias("section", "ids")).select("section", F.explode("ids").alias("topic_id"))
+
+
 def write_from_titles(articles: DataFrame) -> DataFrame:
     """A line per topic: its title and the marks of its articles. articles: ``section, topic_id, place, topic_title, ord, id``."""
     refs = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "id"))), lambda x: x["id"].cast("string")), ", ")

@@ -77,9 +77,10 @@ def section_blocks(texts: DataFrame, key: str, text: str = "text", pos: str | No
 
 
 def parse_link(line: Column) -> Column:
-    """``[title](url) - (source)``, with or without the last brackets; anything else is kept raw."""
-    strong, weak = r"\[(.*?)\]\((\S+?)\)\s*-\s*\((.*?)\)", r"\[(.*?)\]\((\S+?)\)\s*-\s*(.*)$"
-    pick = lambda p: F.struct(F.regexp_extract(line, p, 1).alias("title"), F.regexp_extract(line, p, 2).alias("url"), F.trim(F.regexp_extract(line, p, 3)).alias("source"), F.lit(None).cast("string").alias("raw"))
+    """``[title](url) - (source)``, with or without the last brackets, after any marks in front and without ``**``; the title reaches to the last ``](``. Anything else is kept raw."""
+    line = F.trim(F.replace(F.regexp_replace(line, r"^[>•\-*]+\s*", ""), F.lit("**"), F.lit("")))
+    strong, weak = r"(?s)\[(.*)\]\((.*?)\)\s*-\s*\((.*?)\)", r"(?s)\[(.*)\]\((.*?)\)\s*-\s*(.*)"
+    pick = lambda p: F.struct(*(F.trim(F.regexp_extract(line, p, k)).alias(n) for k, n in enumerate(("title", "url", "source"), 1)), F.lit(None).cast("string").alias("raw"))
     none = F.lit(None).cast("string")
     return F.when(line.rlike(strong), pick(strong)).when(line.rlike(weak), pick(weak)).otherwise(F.struct(none.alias("title"), none.alias("url"), none.alias("source"), line.alias("raw")))
 
@@ -118,6 +119,26 @@ def drop_sections(lines: DataFrame, key: str, headings: str) -> DataFrame:
     return lines.withColumn("_h", current).where(F.col("_h").isNull() | ~F.col("_h").rlike(headings)).drop("_h")
 
 
+def trim_lines(lines: DataFrame, key: str, begins: Column, ends: Column) -> DataFrame:
+    """Lines (``key, pos, line``) from the last one that ``begins`` (all if there is none) to before the last one that ``ends``."""
+    w = Window.partitionBy(key)
+    low, high = F.coalesce(F.max(F.when(begins, F.col("pos"))).over(w), F.lit(0)), F.max(F.when(ends, F.col("pos"))).over(w)
+    return lines.withColumn("_low", low).withColumn("_high", high).where((F.col("pos") >= F.col("_low")) & (F.col("_high").isNull() | (F.col("pos") < F.col("_high")))).drop("_low", "_high")
+
+
+def payload_counts(topics: DataFrame) -> DataFrame:
+    return topics.groupBy("category").agg(F.sum(F.size("news_ids").cast("bigint")).alias("n_articles"), F.count("*").alias("n_topics"))
+
+
+def topic_messages(topics: DataFrame, articles: DataFrame, most: int = 2) -> DataFrame:
+    """``id, message``: a chat text per topic, its title and size and its first ``most`` articles. articles: as of ``topic_articles``."""
+    few = articles.withColumn("_k", F.row_number().over(Window.partitionBy("topic_id").orderBy("ord"))).where(F.col("_k") <= most)
+    line = F.concat(F.lit("- "), F.coalesce("title", F.lit("")), F.lit(" ("), F.coalesce("publisher", F.lit("")), F.lit(")"))
+    links = few.groupBy(F.col("topic_id").alias("id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", line.alias("l")))), lambda x: x["l"]), "\n").alias("links"))
+    head = F.concat(F.coalesce("topic_title", F.lit("")), F.lit(" ["), F.size("news_ids").cast("string"), F.lit("]"))
+    return topics.join(links, "id", "left").select("id", F.concat(head, F.coalesce(F.concat(F.lit("\n"), "links"), F.lit(""))).alias("message"))
+
+
 def split_message(text: str, most: int = 4096) -> list[str]:
     """Paragraphs packed in messages of at most ``most`` characters; the first line is repeated with a part number."""
     if len(text) <= most:

@@ -106,13 +106,13 @@ def close_pairs(x: list[str], y: list[str] | None, threshold: float) -> Iterator
 
 
 def similar_titles(rows: DataFrame, threshold: float = 0.5, within: list[str] | None = None) -> DataFrame:
-    """``a, b, ratio`` (a > b): all pairs whose titles' ratio reaches the threshold, a first as the later row.
+    """``a, b, ratio`` (a > b): all pairs whose titles' ratio reaches the threshold, a first as the later row. Titles are compared as they are stored.
 
     Pairs are sought within ``within`` (say category and day). All pairs of a block pass an exact bound (``close_pairs``) before the ratio; a large block
     is cut in tiles, which spread over tasks. The work grows with the square of a block: blocks are the unit of scale, as the windows of a daily run are.
     """
     by = within or []
-    t = rows.select("id", F.lower("title").alias("t"), *by).where(F.length("t") > 0).dropna(subset=by or ["id"])
+    t = rows.select("id", F.col("title").alias("t"), *by).where(F.length("t") > 0).dropna(subset=by or ["id"])
     n = t.groupBy(*by).agg(F.ceil(F.count("*") / TILE).cast("int").alias("_k"))
     cut = (t.join(n, by) if by else t.crossJoin(F.broadcast(n))).withColumn("_c", F.pmod(F.xxhash64("id"), F.col("_k")).cast("int"))
     tiles = F.transform(F.sequence(F.lit(0), F.col("_k") - 1), lambda j: F.struct(F.least("_c", j).alias("i"), F.greatest("_c", j).alias("j")))
@@ -139,14 +139,14 @@ def similar_titles(rows: DataFrame, threshold: float = 0.5, within: list[str] |
 
     # comparing costs far more than the bytes tell, so tiles are spread by number and not coalesced
     keys = [*by, "_i", "_j"]
-    return laid.repartition(2 * shuffle_width(rows.sparkSession), *keys).groupBy(*keys).applyInPandas(compare, "a bigint, b bigint, ratio double").distinct()
+    return laid.repartition(2 * shuffle_width(rows.sparkSession, rows), *keys).groupBy(*keys).applyInPandas(compare, "a bigint, b bigint, ratio double").distinct()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``id, component`` for links ``a, b``: the smallest id reached; smallest labels are passed on and jumped over."""
     both = stage_table(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = stage_table(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")), "labels")
-    for _ in range(most_rounds):
+    while True:
         passed = both.join(labels, both["b"] == labels["id"]).groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m"))
         step = labels.join(passed, "id").select("id", "component", F.least("component", "m").alias("c"))
         up = labels.select(F.col("id").alias("c"), F.col("component").alias("cc"))
@@ -154,7 +154,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if not after.where("before != component").limit(1).count():
             return after.select("id", "component")
         labels = after.select("id", "component")
-    raise RuntimeError(f"no end after {most_rounds} rounds")
 
 
 def subject_links(rows: DataFrame, within: list[str] | None = None) -> DataFrame:

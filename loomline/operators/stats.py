@@ -24,6 +24,12 @@ def decision_day(processed: DataFrame) -> DataFrame:
     return g.select("dt", "n_keep", "n_drop", "n_error", "n_open", F.round(F.coalesce(F.try_divide(F.col("n_keep") * 100.0, "n"), F.lit(0.0)), 4).alias("keep_pct"))
 
 
+def with_share(rows: DataFrame, n: str, column: str) -> DataFrame:
+    """``rows`` (a report) with ``whole``, the sum of ``n``, and ``column``, its percentage; 0 of nothing."""
+    whole = rows.agg(F.coalesce(F.sum(n), F.lit(0)).alias("whole"))
+    return rows.join(F.broadcast(whole)).withColumn(column, F.coalesce(F.try_divide(F.col(n) * 100.0, "whole"), F.lit(0.0)))  # one row
+
+
 def replace_day(stored: DataFrame, today: DataFrame, day: str = "dt") -> DataFrame:
     """``stored`` with the rows of today's days replaced."""
     return stored.join(today.select(day).distinct(), day, "left_anti").unionByName(today, allowMissingColumns=True)

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from loomline import dims
 from loomline.functions.text import canonical_press, drop_reason, is_domestic, normalise_title, reason_subject, source_tier, trusted_rank, valid_title
 from loomline.functions.time import in_zone
-from loomline.functions.url import clean_url, url_key
+from loomline.functions.url import url_key
 from loomline.operators import changes, collect, dedup, report, similarity, stats, vectors
 from loomline.operators.labels import batches_of, label_udf, work_list
 from loomline.plans.pipeline import dropped, kept_recent, topics
@@ -99,10 +99,6 @@ def url_title_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.dedup_titles(dedup.dedup_urls(_t(spark, d, "raw_news"))).select("id")
 
 
-def url_clean_params(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "raw_news").where("url IS NOT NULL").select("id", clean_url("url").alias("clean_url"))
-
-
 # --- filters and scalar functions
 def keyword_drop_reasons(spark: SparkSession, d: str) -> DataFrame:
     return dropped(_t(spark, d, "processed_news").distinct(), _t(spark, d, "raw_news"))
@@ -158,10 +154,15 @@ def source_rollup(spark: SparkSession, d: str) -> DataFrame:
     return stats.source_totals(_t(spark, d, "raw_news"))
 
 
-_PIVOT = ["Naver Finance", "Infomax", "Rheinblick", "Big Tech"]
+# The sources of the table of collectors, for the columns of the pivot.
+_PIVOT = [
+    "Naver Finance", "Korean Economy", "Infomax", "GEnews", "Hanbit Desk", "Big Tech", "US Real Estate", "Meridian Wire", "Albion Markets",
+    "Harbour Street", "Southern Ledger", "Deccan Ticker", "Kanto Feed", "Rheinblick", "Bourse du Lac", "Mesa Abierta",
+]
 
 
 def source_count_pivot(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per day and source; rows without a source are in no column, as in the fixed wide table."""
     p = stats.source_pivot(_t(spark, d, "raw_news"), F.date_format("created_at", "yyyy-MM-dd"), _PIVOT)
     return p.select("dt", *(F.col(c).alias(c.lower().replace(" ", "_")) for c in _PIVOT))
 
@@ -327,7 +328,7 @@ def nation_revenue(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        title_dedup_representatives, title_dedup_stats, removed_to_kept_map, incremental_group_antijoin, unprocessed_antijoin, url_normalize_dedup, url_title_dedup, url_clean_params,
+        title_dedup_representatives, title_dedup_stats, removed_to_kept_map, incremental_group_antijoin, unprocessed_antijoin, url_normalize_dedup, url_title_dedup,
         keyword_drop_reasons, keyword_drop_stats, publisher_functions, valid_titles, language_split, keep_recent_articles, kst_day_buckets, processed_raw_join, topic_articles, topics_ordered,
         decision_days, source_rollup, source_count_pivot, two_pass_work_list, reason_subjects, label_replay, upsert_last_title_wins, decision_update, deferred_delete, waterfall_feed_limit,
         primary_fallback_topk, topic_publisher_quota, section_selection_topk, newline_agg, newline_roundtrip, citation_expand, section_blocks, message_parts, report_digest, fuzzy_components,
@@ -369,8 +370,9 @@ ORACLE = {
     "source_count_pivot": "SELECT strftime(created_at AT TIME ZONE 'UTC', '%Y-%m-%d') AS dt, " + ", ".join(f"count(*) FILTER (WHERE source = '{c}') AS {c.lower().replace(' ', '_')}" for c in _PIVOT) + " FROM raw_news GROUP BY 1",
     "two_pass_work_list": "SELECT language, llm_decision, count(*) AS n FROM (SELECT DISTINCT * FROM processed_news) WHERE llm_decision IS NULL OR llm_decision = 'ERROR' GROUP BY 1, 2",
     "reason_subjects": "SELECT coalesce(lower(trim(regexp_extract(llm_reason, '^\\[(.*?)\\]', 1), ' ')), '') AS subject, count(*) AS n FROM (SELECT DISTINCT id, llm_reason FROM processed_news) GROUP BY 1",
-    "upsert_last_title_wins": """
-WITH a AS (SELECT *, coalesce(title, '') AS t FROM raw_news WHERE length(trim(url, ' ')) > 0),
+    "upsert_last_title_wins": f"""
+WITH s AS (SELECT * REPLACE (regexp_replace(regexp_replace(url, '^{_WS}', ''), '{_WS}$', '') AS url, regexp_replace(regexp_replace(coalesce(title, ''), '^{_WS}', ''), '{_WS}$', '') AS title) FROM raw_news WHERE url IS NOT NULL),
+a AS (SELECT *, title AS t FROM s WHERE url <> ''),
 b AS (SELECT *, lag(t) OVER w AS before, coalesce(max(CASE WHEN t = '' THEN 1 ELSE 0 END) OVER (PARTITION BY url ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS frozen FROM a WINDOW w AS (PARTITION BY url ORDER BY id)),
 c AS (SELECT *, max(CASE WHEN before IS NULL OR before <> t THEN id END) OVER (PARTITION BY url) AS last_change, min(id) OVER (PARTITION BY url) AS first_id FROM b WHERE frozen = 0)
 SELECT f.id, f.source, f.publisher, f.url, m.title, m.search_rank, m.collected_at FROM c f JOIN c m ON m.url = f.url AND m.id = f.last_change WHERE f.id = f.first_id""",

@@ -13,7 +13,7 @@ from loomline.functions.url import url_key
 
 
 def windowed_counts(stream: DataFrame, time: str, by: str, window: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """``start, by, n, value`` per tumbling window; records later than ``late`` are dropped by the watermark."""
+    """``start, by, n`` per tumbling window; records later than ``late`` are dropped by the watermark."""
     grouped = stream.withWatermark(time, late).groupBy(F.window(time, window).alias("w"), by)
     return grouped.agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), by, "n")
 

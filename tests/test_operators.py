@@ -74,11 +74,11 @@ def test_times(spark):
 UPSERT = "url string, id bigint, title string, snippet string, search_rank int"
 
 
-@pytest.mark.parametrize("titles,rank", [(["a", "a"], 0), (["a", "b"], 1), (["a", "b", "a"], 2), (["a", "", "b"], 1), ([None, "b"], 0)])
+@pytest.mark.parametrize("titles,rank", [(["a", "a"], 0), (["a", "b"], 1), (["a", "b", "a"], 2), (["a", "", "b"], 1), ([None, "b"], 0), (["a", " a\t"], 0), (["a", " \n", "b"], 1), ([" a ", "b "], 1)])
 def test_fold_upserts(spark, titles, rank):
     log = spark.createDataFrame([("u", i, t, f"s{i}", i) for i, t in enumerate(titles)], UPSERT)
     r = changes.fold_upserts(log, ["id"]).collect()
-    assert len(r) == 1 and r[0]["id"] == 0 and r[0]["search_rank"] == rank and r[0]["title"] == titles[rank]
+    assert len(r) == 1 and r[0]["id"] == 0 and r[0]["search_rank"] == rank and r[0]["title"] == (titles[rank] or "").strip()
 
 
 def test_changes(spark):
@@ -122,6 +122,33 @@ def test_collect(spark):
     assert out["https://a/1"]["title"] == "Rates rise again" and out["https://a/1"]["summary"] == "" and out["https://a/3"]["source"] == "Reuters"
 
 
+def test_titles_are_compared_as_stored(spark):
+    rows = [(1, "Fed holds rates"), (2, "FED HOLDS RATES"), (3, "Fed holds rates!")]
+    got = {(r["a"], r["b"]) for r in similarity.similar_titles(spark.createDataFrame(rows, "id bigint, title string"), 0.5).collect()}
+    assert got == {(3, 1)}
+
+
+def test_ids_follow_the_order(spark):
+    df = spark.range(1000).selectExpr("id AS k", "pmod(id * 7919, 1000) AS v").repartition(7)
+    assert all(r["id"] == r["v"] + 11 for r in changes.with_ids(df, ["v"], start=10).collect())
+
+
+def test_slices_take_the_newest(spark):
+    got = {r["id"]: r["batch"] for r in labels.slices(spark.range(230), 50, most=120).collect()}
+    assert got == {229 - k: k // 50 for k in range(120)}
+
+
+@pytest.mark.parametrize("reply", ["[['7', 1, 'G_mac', 'why'] oops", '["7", true, "G_mac", "why"] oops ['])
+def test_labels_in_broken_replies(reply):
+    assert labels.parse_labels(reply, [7], {"G_mac"}) == [(7, "KEEP", "G_mac", "why")]
+
+
+def test_links_with_brackets(spark):
+    lines = ["> • **[A [b] c](https://x.example/a b)** - (P)", "- [t](u) - P q", "* plain **words**"]
+    got = [tuple(r["l"]) for r in spark.createDataFrame([(x,) for x in lines], "s string").select(report.parse_link(F.col("s")).alias("l")).collect()]
+    assert got == [("A [b] c", "https://x.example/a b", "P", None), ("t", "u", "P q", None), (None, None, None, "plain words")]
+
+
 def test_ratio_is_asymmetric(spark):
     df = spark.createDataFrame([("tide", "diet"), ("diet", "tide"), (None, "x")], "a string, b string")
     assert [r["r"] for r in df.select(similarity.ratio("a", "b").alias("r")).collect()] == [0.25, 0.5, None]
@@ -184,7 +211,7 @@ def test_blocks_and_links(spark):
     text = "### Rates\nText one\n> • [T](http://u) - (Src)\n\nNext para\n- [T2](http://v) - Src2\n**Head**\n**Other**\nlast\n> odd"
     b = {r["block"]: r for r in report.section_blocks(spark.createDataFrame([("k", text)], "k string, text string"), "k").collect()}
     assert [b[i]["title"] for i in sorted(b)] == ["Rates", "", "Head", "Other"]
-    assert b[1]["links"][0]["source"] == "Src" and b[2]["links"][0]["source"] == "Src2" and b[4]["links"][0]["raw"] == "> odd"
+    assert b[1]["links"][0]["source"] == "Src" and b[2]["links"][0]["source"] == "Src2" and b[4]["links"][0]["raw"] == "odd"
 
 
 def test_citations(spark):
@@ -251,14 +278,14 @@ def test_similar_titles_finds_all_pairs(spark, monkeypatch):
     titles = [f"{random.choice(firms)} {random.choice(acts)} {random.choice(things)} for {random.randrange(10, 99)} {random.choice(['eur', '£m', 'won'])}" for _ in range(70)]
     # single characters in common, no trigram; long texts with characters that the matcher ignores; repeats
     titles += ["a.b.c.d.e.f.", "a-b-c-d-e-f-", titles[0] * 9, titles[1] * 9, titles[0] * 8 + titles[2], "x", "x", "ab"]
-    rows = [(i, t.upper() if i % 5 == 0 else t, "d" if i < 70 else "e") for i, t in enumerate(titles)] + [(200, "", "d"), (201, None, "d"), (202, titles[0], None), (203, titles[0], None)]
+    rows = [(i, t.upper() if i % 5 == 2 else t, "d" if i < 70 else "e") for i, t in enumerate(titles)] + [(200, "", "d"), (201, None, "d"), (202, titles[0], None), (203, titles[0], None)]
     df = spark.createDataFrame(rows, "id bigint, title string, day string")
     monkeypatch.setattr(similarity, "TILE", 16)
     for within in (None, ["day"]):
         want = {}
         for a, x, d in rows:
             for b, y, e in rows:
-                if a > b and x and y and (within is None or d is not None and d == e) and (r := SequenceMatcher(None, x.lower(), y.lower()).ratio()) >= 0.5:
+                if a > b and x and y and (within is None or d is not None and d == e) and (r := SequenceMatcher(None, x, y).ratio()) >= 0.5:
                     want[a, b] = r
         assert (71, 70) in want
         assert {(r["a"], r["b"]): r["ratio"] for r in similarity.similar_titles(df, 0.5, within).collect()} == want
