@@ -23,7 +23,7 @@ def similar_nodes(texts: DataFrame, counts: DataFrame, threshold: float = THRESH
     return verify_pairs(pairs, distinct_sets(sets.join(wanted, "node", "left_semi").select("node", "words")), threshold)
 
 
-def connected_groups(pairs: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_groups(pairs: DataFrame) -> DataFrame:
     """``node, group_id``: the smallest node that each node of ``a, b`` is linked to, directly or through others.
 
     Smallest labels are passed over the links and over the labels themselves (pointer jumping), so the number
@@ -32,7 +32,7 @@ def connected_groups(pairs: DataFrame, most_rounds: int = 60) -> DataFrame:
     links = stage_table(pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("group_id"))
     labels = stage_table(labels, "labels")
-    for _ in range(most_rounds):
+    while True:
         passed = links.join(labels, links["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("group_id").alias("m"))
         step = labels.join(passed, "node").select("node", "group_id", F.least("group_id", "m").alias("g"))
         up = labels.select(F.col("node").alias("g"), F.col("group_id").alias("gg"))
@@ -41,7 +41,6 @@ def connected_groups(pairs: DataFrame, most_rounds: int = 60) -> DataFrame:
         labels = after.select("node", "group_id")
         if not changed:
             return labels
-    raise RuntimeError(f"no end after {most_rounds} rounds")
 
 
 def near_duplicate_pairs(records: DataFrame, id_column: str, text: Column, threshold: float = THRESHOLD) -> DataFrame:
