@@ -57,6 +57,61 @@ def test_correct_text_stays(text):
     assert repair(text) == (False, text, True)
 
 
+WORLD = ["Ελλάδα: νέα μέτρα", "Москва усиливает контроль", "東京の株価が上昇", "北京 经济 增长 加快", "Zażółć gęślą jaźń"]
+
+
+@pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "mac_roman", "cp437", "cp850", "koi8_r"])
+@pytest.mark.parametrize("text", WORLD)
+def test_other_scripts_come_back(wrong, text):
+    from loomline.llm.garbled import _read
+
+    bad = _read(text.encode(), wrong)
+    assert repair(bad) == (True, text, True)
+    assert repair("correct été " + bad) == (True, "correct été " + text, True)
+
+
+@pytest.mark.parametrize("text", [*WORLD, "Рёбра и бёдра", "«Café”… dit-il", "Mǩs ǥ in a Latin sentence", "Ünïcödé ÀÉÎ", "Ärger über Öl", "naïveté à l’œuvre", "δ α β", "5 µm", "日本 — 한국 “협력”"])
+def test_other_correct_text_stays(text):
+    assert repair(text) == (False, text, True)
+
+
+def test_bytes_of_other_scripts_read_as_latin():
+    assert repair("Москва растёт".encode("cp1251").decode("latin-1")) == (True, "Москва растёт", True)
+    assert repair("Νέα μέτρα στην Ελλάδα".encode("cp1253").decode("latin-1"))[1].endswith("στην Ελλάδα")
+
+
+def test_lost_bytes_between_korean():
+    # what several syllables fit stays lost, the rest of the word comes back around it
+    hit, fixed, whole = repair("강고로바이오의 착공".encode().decode("cp949", "replace"))
+    assert hit and "강고로바" in fixed and "착공" in fixed and not whole
+
+
+def test_planted_garbling(spark):
+    """Correct titles of the smallest table, garbled in every way: all single-byte readings come back, and no correct title changes."""
+    import os
+
+    from loomline.llm.garbled import READINGS, _read
+
+    path = "/root/testdata/sf0.001/raw_news.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    titles = sorted({r["title"] for r in spark.read.parquet(path).select("title").collect() if r["title"] and not r["title"].isascii()})
+    clean = [t for t in titles if not repair(t)[0]]
+    assert len(clean) >= 0.9 * len(titles)
+    tried = back = 0
+    for t in clean:
+        for wrong in READINGS:
+            bad = _read(t.encode(), wrong)
+            if bad is not None and bad != t:
+                hit, fixed, _ = repair(bad)
+                tried += wrong != "iso8859-15"
+                # a single sign read as two Cyrillic letters is the one thing that may pass for correct text
+                assert hit or wrong in ("cp1251", "koi8_r"), (wrong, t)
+                # some forms of this encoding are also forms of the commoner windows-1252
+                back += fixed == t and wrong != "iso8859-15"
+    assert back >= 0.98 * tried, (back, tried)
+
+
 def test_lost_characters():
     hit, fixed, whole = repair("caf� de Ã©tÃ©")
     assert hit and not whole and fixed == "caf� de été"
