@@ -5,21 +5,24 @@ in): one regular expression per notation, all inside the JVM. What a source decl
 month) leaves at most one interpretation, but for wall clocks that occur twice; a source without declaration
 keeps one for each declared zone. A Viterbi pass over each source's record order chooses among those left,
 with a price on switches of notation and on backward jumps. Records with one interpretation separate the
-chain, so only the stretches between them are searched; chains are cut into blocks of ``BLOCK`` order keys, so
-that no task holds more than one block of one source.
+chain, so only the stretches between them are searched; chains are cut into blocks of 2^``BLOCK_BITS`` order keys, so
+that no task holds more than one block of one source, and stretches that reach over a cut are settled by what the ways through
+each block cost, which gives the same choice as one pass over the whole chain.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.runtime import shuffle_width
+from loomline.runtime import shuffle_width, stage_table
 
 BLOCK_BITS = 14
 #: Price of reading two neighbours in different notations, and of going back in time (per doubling of the seconds).
@@ -147,91 +150,239 @@ def interpretations(values: DataFrame, zones: list[str], keep: list[str]) -> Dat
     return out.select(*keep, both.alias("cands"))
 
 
-def _best_path(cands: list[list[tuple[int, str]]], before: tuple[int, str] | None, after: tuple[int, str] | None) -> list[int]:
-    """Cheapest choice in each step; ties go to the earlier entry. ``before``, ``after``: decided neighbours."""
+#: Readings of one value: instants and the notations they were read in.
+Readings = tuple[np.ndarray, np.ndarray]
 
-    def price(p: tuple[int, str] | None, q: tuple[int, str]) -> float:
-        if p is None:
-            return 0.0
-        back = (p[0] - q[0]) / 1e6
-        return SWITCH_PRICE * (p[1] != q[1]) + (BACK_PRICE * np.log2(1 + back) if back > 0 else 0.0)
 
-    costs, back = [price(before, c) for c in cands[0]], []
-    for prev, here in zip(cands, cands[1:], strict=False):
-        step = [[costs[i] + price(p, c) for i, p in enumerate(prev)] for c in here]
-        back.append([int(np.argmin(s)) for s in step])
-        costs = [s[b] for s, b in zip(step, back[-1], strict=True)]
+def _prices(a: Readings, b: Readings) -> np.ndarray:
+    """Price of every reading of b after every reading of a."""
+    back = np.maximum(0, a[0][:, None] - b[0][None, :]) / 1e6
+    return SWITCH_PRICE * (a[1][:, None] != b[1][None, :]) + BACK_PRICE * np.log2(1 + back)
+
+
+def _best_path(values: list[Readings], before: Readings | None, after: Readings | None, first: int | None = None, last: int | None = None) -> list[int]:
+    """Cheapest reading of each value; ties go to the earlier one. ``before``, ``after``: decided neighbours. ``first``, ``last``: readings that are fixed."""
+    costs = _prices(before, values[0])[0] if before is not None else np.zeros(len(values[0][0]))
+    if first is not None:
+        costs = np.where(np.arange(len(costs)) == first, costs, np.inf)
+    back = []
+    for prev, here in zip(values, values[1:], strict=False):
+        step = costs[:, None] + _prices(prev, here)
+        back.append(step.argmin(axis=0))
+        costs = step.min(axis=0)
     if after is not None:
-        costs = [c + price(q, after) for c, q in zip(costs, cands[-1], strict=True)]
-    path = [int(np.argmin(costs))]
+        costs = costs + _prices(values[-1], after)[:, 0]
+    path = [int(costs.argmin()) if last is None else last]
     for b in reversed(back):
-        path.append(b[path[-1]])
+        path.append(int(b[path[-1]]))
     return path[::-1]
 
 
-_CHOSEN = "id bigint, field_name string, instant bigint, n_valid int"
+def _path_costs(values: list[Readings]) -> np.ndarray:
+    """Cheapest price between every reading of the first value and every one of the last."""
+    k = len(values[0][0])
+    costs = np.where(np.eye(k, dtype=bool), 0.0, np.inf)
+    for prev, here in zip(values, values[1:], strict=False):
+        costs = (costs[:, :, None] + _prices(prev, here)[None, :, :]).min(axis=1)
+    return costs
+
+
+#: part: NULL for a decided row; of an open row, whether it stands before the first single reading of its block, after the last one, or in a
+#: block without any; the row that tells a block's first and last single reading has no id.
+LEAD, TRAIL, WHOLE, BLOCK = range(4)
+_CHOSEN = "id bigint, field_name string, instant bigint, n_valid int, chain bigint, block bigint, part int, instants array<bigint>, notations array<string>"
+_NAMES = ["id", "field_name", "instant", "n_valid", "chain", "block", "part", "instants", "notations"]
+_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string())]
+
+
+def _readings(instants: list[int], notations: list[str]) -> Readings:
+    return np.array(instants, np.int64), np.array(notations, object)
 
 
 def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input is sorted by (source, field, block, id). Stretches without a single valid reading are searched."""
-    open_rows: list[tuple[int, str, list[tuple[int, str]]]] = []
+    """Input is sorted by (chain, block, id). Stretches between two single readings of a block are searched; those at its borders are handed on."""
+    open_rows: list[tuple[int, str, list[int], list[str]]] = []
+    at: tuple | None = None
+    first: tuple[int, str] | None = None
     before: tuple[int, str] | None = None
-    chain: tuple | None = None
-
-    def close(after: tuple[int, str] | None) -> list[tuple[int, str, int, int]]:
-        nonlocal before
-        out = []
-        if open_rows:
-            cands = [c for _, _, c in open_rows]
-            path = _best_path(cands, before, after)
-            out = [(i, f, c[k][0], len({x for x, _ in c})) for (i, f, c), k in zip(open_rows, path, strict=True)]
+    out: list[tuple] = []
+
+    def hand_on(part: int) -> None:
+        out.extend((i, f, None, len(set(t)), *at, part, t, n) for i, f, t, n in open_rows)
+        open_rows.clear()
+
+    def single(value: tuple[int, str]) -> None:
+        nonlocal first, before
+        if open_rows and before is None:
+            hand_on(LEAD)
+        elif open_rows:
+            values = [_readings(t, n) for _, _, t, n in open_rows]
+            path = _best_path(values, _readings([before[0]], [before[1]]), _readings([value[0]], [value[1]]))
+            out.extend((i, f, t[k], len(set(t)), None, None, None, None, None) for (i, f, t, _), k in zip(open_rows, path, strict=True))
             open_rows.clear()
-        before = after
-        return out
-
-    def emit(ids: list, fields: list, instants: list, counts: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fields, pa.string()), pa.array(instants, pa.int64()), pa.array(counts, pa.int32())], ["id", "field_name", "instant", "n_valid"])
+        first, before = first or value, value
+
+    def close() -> None:
+        nonlocal first, before
+        if at is not None:
+            if open_rows:
+                hand_on(WHOLE if before is None else TRAIL)
+            if first is not None:
+                out.append((None, None, None, None, *at, BLOCK, [first[0], before[0]], [first[1], before[1]]))
+        first = before = None
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], _NAMES)
+            out.clear()
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids, chains, fields, cands = (batch.column(batch.schema.get_field_index(n)) for n in ("id", "chain", "field_name", "cands"))
+        ids, fields, cands = (batch.column(batch.schema.get_field_index(n)) for n in ("id", "field_name", "cands"))
+        chain, block = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("chain", "block"))
         n = np.diff(cands.offsets.to_numpy())
-        code = chains.to_numpy()
-        wide = np.flatnonzero(n > 1)
-        # a row matters to the search if it is wide or the nearest single reading before or after a wide one
-        single = np.flatnonzero(n == 1)
-        near = set(wide.tolist())
-        if len(single):
-            k = np.searchsorted(single, wide)
-            near |= set(single[np.clip(k - 1, 0, None)].tolist()) | set(single[np.clip(k, None, len(single) - 1)].tolist()) | {int(single[0]), int(single[-1])}
-        edges = np.flatnonzero(np.diff(code)) + 1
-        near |= set(edges.tolist()) | {0}
+        wide, singles = np.flatnonzero(n > 1), np.flatnonzero(n == 1)
+        # a row matters if it has several readings, is the nearest single one before or after such, or the first or last single one of its block
+        starts = np.concatenate([[0], np.flatnonzero((np.diff(chain) != 0) | (np.diff(block) != 0)) + 1])
+        near = set(wide.tolist()) | set(starts.tolist())
+        if len(singles):
+            k = np.searchsorted(singles, wide)
+            near |= set(singles[np.clip(k - 1, 0, None)].tolist()) | set(singles[np.clip(k, None, len(singles) - 1)].tolist())
+            low, high = np.searchsorted(singles, starts), np.searchsorted(singles, np.append(starts[1:], len(n)))
+            some = high > low
+            near |= set(singles[low[some]].tolist()) | set(singles[high[some] - 1].tolist())
         flat = cands.flatten()
         start = np.concatenate([[0], np.cumsum(n)])
         instants, notations = flat.field("instant"), flat.field("notation")
-        late: list[tuple[int, str, int, int]] = []
         for r in sorted(near):
-            if code[r] != chain:
-                late += close(None)
-                chain, before = code[r], None
-            got = [(instants[j].as_py(), notations[j].as_py()) for j in range(start[r], start[r + 1])]
-            if len(got) == 1:
-                late += close(got[0])
-            elif got:
-                open_rows.append((ids[r].as_py(), fields[r].as_py(), got))
+            if (chain[r], block[r]) != at:
+                close()
+                at = (int(chain[r]), int(block[r]))
+            here = slice(int(start[r]), int(start[r + 1]))
+            times, names = instants[here].to_pylist(), notations[here].to_pylist()
+            if len(times) == 1:
+                single((times[0], names[0]))
+            elif times:
+                open_rows.append((ids[r].as_py(), fields[r].as_py(), times, names))
         # a plain neighbour that was skipped lies between two singles and changes nothing
         plain = np.flatnonzero(n <= 1)
         if len(plain):
             take = pa.array(plain)
-            first = pa.array(np.where(n[plain] == 1, start[plain], 0), mask=n[plain] == 0)
-            value = instants.take(first) if len(instants) else pa.nulls(len(plain), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids.take(take), fields.take(take), value, pa.array(n[plain].astype(np.int32))], ["id", "field_name", "instant", "n_valid"])
-        if late:
-            yield emit(*map(list, zip(*late, strict=True)))
-    late = close(None)
-    if late:
-        yield emit(*map(list, zip(*late, strict=True)))
+            where = pa.array(np.where(n[plain] == 1, start[plain], 0), mask=n[plain] == 0)
+            value = instants.take(where) if len(instants) else pa.nulls(len(plain), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids.take(take), fields.take(take), value, pa.array(n[plain].astype(np.int32)), *(pa.nulls(len(plain), t) for t in _TYPES[4:])], _NAMES)
+        yield from flush()
+    close()
+    yield from flush()
+
+
+def _edges(pdf: pd.DataFrame) -> tuple[Readings | None, Readings | None]:
+    """First and last single reading of a block."""
+    told = pdf[pdf["part"] == BLOCK]
+    if told.empty:
+        return None, None
+    t, n = told["instants"].iloc[0], told["notations"].iloc[0]
+    return _readings(t[:1], n[:1]), _readings(t[1:], n[1:])
+
+
+def _open_parts(pdf: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame, list[Readings]]]:
+    for part in (LEAD, TRAIL, WHOLE):
+        rows = pdf[pdf["part"] == part].sort_values("id", kind="stable")
+        if len(rows):
+            yield part, rows, [_readings(t, n) for t, n in zip(rows["instants"], rows["notations"], strict=True)]
+
+
+def _summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row for a block: its first and last single reading, and for each open part its outer readings and what ways between them cost."""
+    first, last = _edges(pdf)
+    told: dict = {"first": first and [first[0].tolist(), first[1].tolist()], "last": last and [last[0].tolist(), last[1].tolist()]}
+    for part, _, values in _open_parts(pdf):
+        costs = _path_costs(values)
+        if part == LEAD:
+            costs = (costs + _prices(values[-1], first)[:, 0][None, :]).min(axis=1, keepdims=True)
+        if part == TRAIL:
+            costs = (_prices(last, values[0])[0][:, None] + costs).min(axis=0, keepdims=True)
+        told[str(part)] = [[v[0].tolist(), v[1].tolist()] for v in (values[0], values[-1])] + [costs.tolist()]
+    return pd.DataFrame({"chain": [pdf["chain"].iloc[0]], "block": [pdf["block"].iloc[0]], "told": [json.dumps(told)]})
+
+
+def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Readings at the borders of a chain's blocks, chosen over all stretches that reach across them: ``block, part, low, high``."""
+    out: list[tuple] = []
+    # pieces of the stretch that is open: (block, part, costs), and what arrives at the last piece's last readings
+    pieces: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+    ends: Readings | None = None
+    costs = np.zeros(0)
+
+    def add(block: int, part: int, told: list) -> None:
+        nonlocal ends, costs
+        (f, g), (t, u), way = told[0], told[1], np.array(told[2])
+        if ends is None:
+            arrive, came = (np.zeros(way.shape[0]), np.zeros(way.shape[0], np.int64))
+        else:
+            step = costs[:, None] + _prices(ends, _readings(f, g))
+            arrive, came = step.min(axis=0), step.argmin(axis=0)
+            if part == TRAIL:
+                raise AssertionError("a stretch cannot go on before a single reading")
+        total = arrive[:, None] + way
+        pieces.append((block, part, came, total.argmin(axis=0)))
+        costs, ends = total.min(axis=0), _readings(t, u)
+
+    def close(after: Readings | None) -> None:
+        nonlocal ends, costs
+        if pieces:
+            high = int((costs + (_prices(ends, after)[:, 0] if after is not None else 0)).argmin())
+            for block, part, came, low_of in reversed(pieces):
+                low = int(low_of[high])
+                out.append((block, part, None if part == TRAIL else low, None if part == LEAD else high))
+                high = int(came[low]) if len(came) else 0
+        pieces.clear()
+        ends, costs = None, np.zeros(0)
+
+    for block, told in sorted(zip(pdf["block"], map(json.loads, pdf["told"]), strict=True)):
+        if str(WHOLE) in told:
+            add(block, WHOLE, told[str(WHOLE)])
+            continue
+        if str(LEAD) in told:
+            add(block, LEAD, told[str(LEAD)])
+            close(None)
+        else:
+            close(_readings(*told["first"]))
+        if str(TRAIL) in told:
+            add(block, TRAIL, told[str(TRAIL)])
+        # without open rows the next stretch follows this block's last single reading
+        elif told["last"]:
+            single = _readings(*told["last"])
+            ends, costs = single, np.zeros(1)
+            pieces.append((block, BLOCK, np.zeros(0, np.int64), np.zeros(1, np.int64)))
+    close(None)
+    return pd.DataFrame([(pdf["chain"].iloc[0], *o) for o in out if o[1] != BLOCK], columns=["chain", "block", "part", "low", "high"])
+
+
+def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows of a block's open parts with the outer readings that were settled."""
+    first, last = _edges(pdf)
+    rows = []
+    for part, part_rows, values in _open_parts(pdf):
+        low, high = (None if pd.isna(x) else int(x) for x in (part_rows["low"].iloc[0], part_rows["high"].iloc[0]))
+        path = _best_path(values, last if part == TRAIL else None, first if part == LEAD else None, low, high)
+        rows += [(i, f, int(v[0][k]), n) for i, f, n, v, k in zip(part_rows["id"], part_rows["field_name"], part_rows["n_valid"], values, path, strict=True)]
+    return pd.DataFrame(rows, columns=["id", "field_name", "instant", "n_valid"])
+
+
+def _across_blocks(chosen: DataFrame) -> DataFrame:
+    """``id, field_name, instant, n_valid`` of the open rows at the borders of blocks.
+
+    The way through a block matters to its neighbours only by what it costs between its outer readings, so blocks are
+    searched side by side, their outer readings are settled along each chain (one row per block), and blocks are searched again between these.
+    """
+    # rows that tell of a block get numbers too, so that ids stay whole numbers in pandas
+    told = chosen.where("part IS NOT NULL").withColumns({"id": F.coalesce("id", F.lit(0)), "n_valid": F.coalesce("n_valid", F.lit(0)), "instant": F.lit(0).cast("bigint")})
+    blocks = stage_table(told.groupBy("chain", "block").applyInPandas(_summarise, "chain bigint, block bigint, told string"), "blocks")
+    settled = blocks.groupBy("chain").applyInPandas(_settle, "chain bigint, block bigint, part int, low int, high int")
+    rows = told.where(F.col("part") == BLOCK).withColumns({"low": F.lit(None).cast("int"), "high": F.lit(None).cast("int")}).unionByName(told.where(F.col("part") != BLOCK).join(settled, ["chain", "block", "part"]))
+    return rows.groupBy("chain", "block").applyInPandas(_decide, "id bigint, field_name string, instant bigint, n_valid int")
 
 
 def normalise_instants(records: DataFrame, sources: DataFrame, fields: list[Field], block_bits: int = BLOCK_BITS) -> DataFrame:
@@ -263,10 +414,14 @@ def normalise_instants(records: DataFrame, sources: DataFrame, fields: list[Fiel
     zone = by_field(lambda f: F.col(f"_{f.zone}"))
     order = by_field(lambda f: F.when(F.col("_known"), F.col(f"_{f.order}")) if f.order else F.lit("ymd"))
     zones = sorted({r[f.zone] for f in fields for r in rows if r[f.zone]})
-    chain = F.xxhash64("_s", "k", F.shiftright("id", block_bits))
-    narrow = interpretations(long.select("id", "field_name", "text", zone.alias("_zone"), order.alias("_order"), chain.alias("chain")), zones, ["id", "field_name", "chain"])
-    laid = narrow.repartition(shuffle_width(records.sparkSession), "chain").sortWithinPartitions("chain", "id")
-    return laid.mapInArrow(_choose, _CHOSEN)
+    chain, block = F.xxhash64("_s", "k"), F.shiftright("id", block_bits)
+    narrow = interpretations(long.select("id", "field_name", "text", zone.alias("_zone"), order.alias("_order"), chain.alias("chain"), block.alias("block")), zones, ["id", "field_name", "chain", "block"])
+    laid = narrow.repartition(shuffle_width(records.sparkSession, records), "chain", "block").sortWithinPartitions("chain", "block", "id")
+    chosen = stage_table(laid.mapInArrow(_choose, _CHOSEN), "instants")
+    decided = chosen.where("part IS NULL").select("id", "field_name", "instant", "n_valid")
+    if not chosen.where(F.col("part") != BLOCK).limit(1).count():
+        return decided
+    return decided.unionByName(_across_blocks(chosen))
 
 
 def instant_text(micros: Column) -> Column:

@@ -1,3 +1,7 @@
+import random
+from datetime import datetime, timezone
+
+import numpy as np
 import pytest
 
 from loomline.core.instants import Field, instant_text, normalise_instants
@@ -64,3 +68,41 @@ def test_blank_values_and_empty_table(spark):
     assert run(spark, [("us", None), ("us", ""), ("us", " 　 ")]) == {}
     assert run(spark, []) == {}
     assert run(spark, [("us", "x" * 50_000)]) == {0: (None, 0)}
+
+
+def _price_of(rows, chosen):
+    """What the chosen instants cost along the one chain."""
+    from loomline.core import instants as it
+
+    values = [(np.array([t for t, n in c if t == chosen[i]][:1]), np.array([n for t, n in c if t == chosen[i]][:1], object)) for i, c in rows if c]
+    return sum(float(it._prices(a, b)[0, 0]) for a, b in zip(values, values[1:], strict=False))
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stretches_over_block_borders(spark, bits, seed):
+    """Cut in blocks of 2, 4, 8 or 32 ids, a chain costs as much as in one block; ids beyond 2^53 stay exact."""
+    from loomline.core import instants as it
+
+    random.seed(seed)
+    base = 1 << 60
+    rows, t = [], 1_756_900_000
+    for k in range(90):
+        t += random.randrange(-4000, 9000)
+        stamp = datetime.fromtimestamp(t, timezone.utc)
+        if random.random() < 0.12:
+            rows.append((base + k, stamp.strftime("%Y-%m-%dT%H:%M:%SZ")))
+        elif random.random() < 0.05:
+            rows.append((base + k, "not a time"))
+        else:
+            rows.append((base + k, stamp.strftime(random.choice(["%Y-%m-%d %H:%M:%S", "%d/%m/%Y %H:%M", "%y.%m.%d %H:%M"]))))
+    df = spark.createDataFrame([(i, "new", v) for i, v in rows], "id bigint, source string, published string")
+    sources = spark.createDataFrame([("us", "America/New_York", "mdy"), ("kr", "Asia/Seoul", "ymd"), ("de", "Europe/Berlin", "dmy")], "source string, tz string, date_order string")
+    fields = [it.Field("published", "tz", "date_order")]
+    whole, cut = ({r["id"]: r["instant"] for r in it.normalise_instants(df, sources, fields, block_bits=b).collect()} for b in (40, bits))
+    values = df.select("id", F.col("published").alias("text"), F.lit(None).cast("string").alias("_zone"), F.lit(None).cast("string").alias("_order"))
+    cands = [(r["id"], [(c["instant"], c["notation"]) for c in r["cands"]]) for r in it.interpretations(values, ["America/New_York", "Asia/Seoul", "Europe/Berlin"], ["id"]).orderBy("id").collect()]
+    assert whole.keys() == cut.keys() == {i for i, _ in rows}
+    assert sum(len(c) > 1 for _, c in cands) > 50
+    assert all(cut[i] in {x for x, _ in c} for i, c in cands if c)
+    assert abs(_price_of(cands, whole) - _price_of(cands, cut)) < 1e-6
