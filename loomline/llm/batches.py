@@ -32,7 +32,7 @@ RANGE_ROWS, MOST_RANGE_BITS = 1 << 16, 12
 #: Generations of like size that are merged into one.
 FANOUT = 8
 #: Fingerprints (16 bytes each) that are broadcast at most; more are joined by a shuffle.
-BROADCAST_PRINTS = 1 << 20
+BROADCAST_PRINTS = 1 << 17
 # The parameters that tell articles apart.
 TELLING = ["article_id", "office_id", "idxno", "id", "no", "seq"]
 
@@ -325,9 +325,9 @@ def admit(store: FingerprintStore, records: DataFrame, overlap: float = OVERLAP)
 def _admit(store: FingerprintStore, records: DataFrame, overlap: float) -> DataFrame:
     address = address_key(F.col("url"))
     base = records.select("id", F.col("created_at").cast("timestamp").alias("batch"), F.substring(F.unhex(F.sha2(address, 256)), 1, 16).alias("u"), "title")
-    rows = with_words(base, "title", ["id", "batch", "u"])
+    rows = stage_table(with_words(base, "title", ["id", "batch", "u"]), "rows")
     sets = stage_table(rows.where("node IS NOT NULL").groupBy("node").agg(F.first("words").alias("words")), "sets")
-    rows = stage_table(with_words(base, "title", ["id", "batch", "u"], words=False).select("id", "node", "u", "batch"), "rows")
+    rows = rows.select("id", "node", "u", "batch")
     first, last = rows.agg(F.min(F.unix_micros("batch")), F.max(F.unix_micros("batch"))).first()
     if store.until is not None and first is not None and first < store.until:
         raise ValueError("a batch is older than the store's newest one")

@@ -13,6 +13,7 @@ whole word shows it. Not covered: one Latin single-byte encoding read as another
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import product
@@ -279,6 +280,21 @@ def _syllable(lead: int, follow: bytes) -> str | None:
     return char if "\uac00" <= char <= "\ud7a3" else None
 
 
+@lru_cache(maxsize=1 << 16)
+def _may_begin(char: str) -> bool:
+    """Whether the character's bytes in one of the double-byte encodings may begin a UTF-8 sequence (or were lost)."""
+    if char == LOST:
+        return True
+    for wrong in ("cp949", "gb18030", "shift_jis"):
+        try:
+            data = char.encode(wrong)
+        except UnicodeEncodeError:
+            continue
+        if 0xC2 <= data[0] <= 0xF4 and (len(data) == 1 or 0x80 <= data[1] <= 0xBF):
+            return True
+    return False
+
+
 def _run_back(run: str) -> str | None:
     """The original of a run of double-byte characters if it spells UTF-8."""
     if LOST in run:
@@ -297,6 +313,8 @@ def repair(text: str) -> tuple[bool, str, bool]:
     """Whether the text holds a garbled span; the text with the spans replaced; whether all of it could be recovered."""
     if text.isascii():
         return False, text, True
+    if not _maybe().search(text):
+        return _finish(text, [])
     spans, of_utf, korean = _spans(text)
     # the same signs may be bytes of Korean, UTF-8 in one reading or another, or another script's own bytes: what explains more of them counts
     ways = [spans if korean else sorted(spans + _wide_spans(text, spans)), _other_script(text)]
@@ -306,6 +324,27 @@ def repair(text: str) -> tuple[bool, str, bool]:
     if ways[0]:
         ways += [_whole_runs(text, reading) for reading in READINGS]
     spans = max(ways, key=lambda w: (_covered(w), -len(_UGLY.findall(_replaced(text, w)))))
+    return _finish(text, spans)
+
+
+@lru_cache(maxsize=1)
+def _maybe() -> re.Pattern:
+    """What every form begins with (or is, if it is one letter), and four letters of the upper half of Latin-1 in a row: texts without it need no scan."""
+    begins, single = {}, set()
+    for one in (automaton(), wide_automaton()):
+        for form in one.keys():
+            if len(form) > 1:
+                begins.setdefault(form[0], set()).add(form[1])
+            else:
+                single.add(form)
+    same: dict[str, set] = {}
+    for first, second in begins.items():
+        same.setdefault("".join(sorted(second)), set()).add(first)
+    some = lambda chars: "[" + "".join(map(re.escape, sorted(chars))) + "]"
+    return re.compile("|".join([*(some(firsts) + some(seconds) for seconds, firsts in same.items()), some(single), "[\u00c0-\u00ff\u00a8\u00b8]{4}"]))
+
+
+def _finish(text: str, spans: list[Span]) -> tuple[bool, str, bool]:
     if not spans or LOST in text:
         spans = sorted(spans + _double_byte(text, spans))
     lost = LOST in text and not _lost_filled(text, spans) or bool(_CONTROL.search("".join(_between(text, spans))))
@@ -386,16 +425,16 @@ def _between(text: str, spans: list[Span]) -> Iterator[str]:
 
 
 def _double_byte(text: str, taken: list[Span]) -> list[Span]:
-    east = _EAST.findall(text)
-    if not east:
+    first = _EAST.search(text)
+    if not first:
         return []
     out = []
     latin = latin_as_double_byte()
-    if all(c in latin for c in east):
+    if first[0] in latin and all(c in latin for c in _EAST.findall(text)):
         out = [(m.start(), m.end(), latin[m[0]]) for m in _EAST.finditer(text)] if _MIXED.search(text) else []
     if not out:
         for m in _RUN.finditer(text):
-            if _EAST.search(m[0]) and (back := _run_back(m[0])) is not None:
+            if _may_begin(m[0][0]) and _EAST.search(m[0]) and (back := _run_back(m[0])) is not None:
                 out.append((m.start(), m.end(), back))
     return [s for s in out if not any(a < s[1] and s[0] < b for a, b, _ in taken)]
 
