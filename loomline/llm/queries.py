@@ -13,7 +13,7 @@ from loomline.llm.garbled import garbled_fields
 from loomline.llm.mixing import mix, share_report, stock
 from loomline.llm.near_dups import near_duplicate_groups, near_duplicate_pairs
 from loomline.llm.packing import fill_report, pack
-from loomline.llm.subjects import calibration, composition, document_subjects
+from loomline.llm.subjects import calibration, composition, document_subjects, mine_terms
 from loomline.llm.survivors import resolve, retained_values, survivors
 from loomline.llm.tokens import count_tokens
 from loomline.runtime import stage_table
@@ -157,6 +157,12 @@ def p10_calibration(spark: SparkSession, d: str) -> DataFrame:
     return calibration(_table(spark, d, "documents"), _table(spark, d, "doc_labels"))
 
 
+def p10_mined(spark: SparkSession, d: str) -> DataFrame:
+    """Calibration with terms mined anew from the fitted half of the labels: what the whole procedure gives without the curated table."""
+    documents, labels = _table(spark, d, "documents"), _table(spark, d, "doc_labels")
+    return calibration(documents, labels, source=mine_terms(documents, labels))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_repaired": p2_repaired,
@@ -180,6 +186,7 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_composition": p10_composition,
     "p10_calibration": p10_calibration,
+    "p10_mined": p10_mined,
 }
 
 _SPACE = r"[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"

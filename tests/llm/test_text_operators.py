@@ -340,6 +340,30 @@ def test_calibration_weighs_terms_by_all_documents(spark):
     whole, part = term_rarity(documents), term_rarity(documents.where("doc_id < 100"))
     assert (whole["verdict"] < whole["striker"]) and (part["verdict"] > part["striker"])
     found = {(r["doc_id"], r["subject"]) for r in document_subjects(documents).where("doc_id < 100").collect()}
-    row = calibration(documents, labels, (0.2,)).first()
-    assert (row["n_true"], row["n_assigned"], row["n_right"]) == (9, len(found), sum(s == "sport" for _, s in found))
+    rows = calibration(documents, labels).where("share = 0.2 AND density = 2.5").collect()
+    assert tuple(sum(r[c] for r in rows) for c in ("n_true", "n_assigned", "n_right")) == (9, len(found), sum(s == "sport" for _, s in found))
     assert (0, "sport") in found
+    assert calibration(documents, labels).where("chosen").groupBy("part").count().count() == 2
+    assert calibration(documents.limit(0), labels).count() == 0
+
+
+def test_mined_terms(spark):
+    """Words that go with a subject are found from labels and solve documents that had no say."""
+    import json
+
+    from loomline.llm.subjects import calibration, mine_terms
+
+    random.seed(4)
+    words = {"law": ["verdict", "plaintiff", "patent claim", "소송이", "소송을"], "sport": ["striker", "penalty", "league table", "득점은", "득점이"]}
+    rows, labels = [], []
+    for i in range(240):
+        s = random.choice(list(words))
+        rows.append((i, " ".join(f"People said the {w} was there today." for w in random.choices(words[s], k=4))))
+        labels.append((i, s))
+    documents, known = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, subject string")
+    source = mine_terms(documents, known)
+    table = json.loads(source)
+    terms = {s: {t for v in table[s].values() for t in v} for s in table}
+    assert {"verdict", "plaintiff", "소송"} <= terms["law"] and "소송이" not in terms["law"] and not {"people", "said", "there"} & set().union(*terms.values())
+    held = calibration(documents, known, source=source).where("chosen AND part = 'held'").first()
+    assert held["f1"] > 0.95
