@@ -160,3 +160,16 @@ def share_report(mixed: DataFrame, sizes: DataFrame, targets: DataFrame) -> Data
         "source", "target_share", "max_repeats", "n_documents", "n_tokens", F.round("share", 6).alias("actual_share"), "most_uses", "available_tokens",
         (F.abs(F.col("share") - F.col("target_share")) <= F.col("target_share") * TOLERANCE).alias("met"), "short", F.round(even, 6).alias("even_share"),
     )
+
+
+def astray(mixed: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """``source, n_astray``: slots of a source before or after which it is a block or more away from its share of the slots.
+
+    A source's share is that of its blocks: its last slot tells how many there are, whether or not a document begins in each of them.
+    """
+    blocks = mixed.select("source", "slot", F.floor(F.col("start") / block_tokens).alias("block")).distinct()
+    size = mixed.groupBy("source").agg(F.ceil(F.max(F.col("start") + F.col("n_tokens")) / block_tokens).alias("n"))
+    whole = size.agg(F.sum("n").alias("whole"))
+    ahead = (F.col("block") + 1) * F.col("whole") - (F.col("slot") + 1) * F.col("n")
+    behind = F.col("slot") * F.col("n") - F.col("block") * F.col("whole")
+    return blocks.join(F.broadcast(size), "source").join(F.broadcast(whole)).groupBy("source").agg(F.count_if((ahead >= F.col("whole")) | (behind >= F.col("whole"))).alias("n_astray"))  # one row per target

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomline.llm.batches import FingerprintStore, admit
 from loomline.llm.format_dups import collapse, headline_groups
 from loomline.llm.garbled import garbled_fields
-from loomline.llm.mixing import mix, share_report, stock
+from loomline.llm.mixing import astray, mix, share_report, stock
 from loomline.llm.near_dups import near_duplicate_groups, near_duplicate_pairs
 from loomline.llm.packing import fill_report, pack
 from loomline.llm.subjects import calibration, composition, document_subjects, mine_terms
@@ -119,6 +119,18 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return fill_report(pack(sizes, 2048), 2048).unionByName(fill_report(pack(sizes, 8192), 8192))
 
 
+def p8_faults(spark: SparkSession, d: str) -> DataFrame:
+    """What may not be, counted for both capacities: containers over it, documents split that fit, documents with tokens in no container."""
+    sizes, out = stage_table(count_tokens(_table(spark, d, "documents"), ["doc_id"]), "sizes"), []
+    for capacity in (2048, 8192):
+        packed = stage_table(pack(sizes, capacity), "packed")
+        over = packed.where("bin_id IS NOT NULL").groupBy("bin_id").agg(F.sum("n_tokens").alias("n")).agg(F.count_if(F.col("n") > capacity).alias("n_overfull"))
+        per = packed.where("bin_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("placed"))
+        faults = sizes.join(per, "doc_id", "left").agg(F.count("*").alias("n_documents"), F.count_if((F.col("n_tokens") <= capacity) & (F.col("pieces") > 1)).alias("n_split"), F.count_if((F.col("n_tokens") > 0) & (F.coalesce("placed", F.lit(0)) != F.col("n_tokens"))).alias("n_unplaced"))
+        out.append(over.join(F.broadcast(faults)).select(F.lit(capacity).alias("capacity"), "n_documents", "n_overfull", "n_split", "n_unplaced"))  # one row each
+    return out[0].unionByName(out[1])
+
+
 def _sizes(spark: SparkSession, d: str) -> DataFrame:
     return stage_table(count_tokens(_table(spark, d, "documents"), ["doc_id", "source"]), "sizes")
 
@@ -134,6 +146,14 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return share_report(mix(sizes, targets, stock(sizes, targets)), sizes, targets)
 
 
+def p9_faults(spark: SparkSession, d: str) -> DataFrame:
+    """What may not be, counted for each source: documents used too often, and blocks of which a source is more than one block ahead or behind its share."""
+    sizes, targets = _sizes(spark, d), _table(spark, d, "mix_targets")
+    mixed = stage_table(mix(sizes, targets, stock(sizes, targets)), "mixed")
+    over = mixed.groupBy("source", "doc_id").agg(F.count("*").alias("uses")).join(targets.select("source", "max_repeats"), "source").where("uses > max_repeats").groupBy("source").agg(F.count("*").alias("n_overused"))
+    return targets.select("source").join(over, "source", "left").join(astray(mixed), "source", "left").select("source", F.coalesce("n_overused", F.lit(0)).alias("n_overused"), F.coalesce("n_astray", F.lit(0)).alias("n_astray"))
+
+
 def p9_mix_by_share(spark: SparkSession, d: str) -> DataFrame:
     """Shares come first: the total is the largest at which every source with documents reaches its target."""
     return mix(_sizes(spark, d), _table(spark, d, "mix_targets"))
@@ -178,9 +198,11 @@ QUERIES = {
     "p8_pack_2048": p8_pack_2048,
     "p8_pack_8192": p8_pack_8192,
     "p8_fill": p8_fill,
+    "p8_faults": p8_faults,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
     "p9_shares_by_volume": p9_shares,
+    "p9_faults": p9_faults,
     "p9_mix_by_share": p9_mix_by_share,
     "p9_shares_by_share": p9_shares_by_share,
     "p10_found": p10_found,
@@ -221,16 +243,26 @@ _DIFFER = " UNION ALL ".join(
     f"SELECT first_id, '{f}' AS field_name FROM runs WHERE n > 1 GROUP BY first_id HAVING count(DISTINCT CASE WHEN {f} IS NULL OR regexp_matches({f}, '^{_SPACE}*$') THEN '' ELSE {f} END) > 1" for f in _FIELDS
 )
 
+# every pair that shares a word, whatever the word: no prefix rule as the operator has one
+_SIMILAR = """
+s AS (SELECT id, list_distinct(list_transform(regexp_extract_all(coalesce(title, '') || ' ' || coalesce(snippet, ''), '[\\p{L}\\p{N}]+'), lambda x: lower(x))) AS ws FROM raw_news),
+tok AS (SELECT id, len(ws) AS n, unnest(ws) AS w FROM s),
+pairs AS (SELECT a.id AS id_a, b.id AS id_b FROM tok a JOIN tok b ON a.w = b.w AND a.id < b.id AND a.n >= 0.65 * b.n - 1e-9 AND b.n >= 0.65 * a.n - 1e-9 GROUP BY a.id, b.id, a.n, b.n HAVING count(*) >= 0.65 * (a.n + b.n - count(*)) - 1e-9)"""
+
 ORACLE: dict[str, str] = {
     "p3_found": f"WITH {_HEADLINES} SELECT first_id, id FROM runs WHERE id > first_id",
     "p3_copies": f"WITH {_HEADLINES} SELECT id, title, n AS n_copies FROM runs WHERE id = first_id",
     "p5_found": _BATCHES,
     "p5_daily": _BATCHES,
     "p6_found": f"WITH {_HEADLINES} {_DIFFER}",
-    "p7_found": """
-WITH s AS (SELECT id, list_distinct(list_transform(regexp_extract_all(coalesce(title, '') || ' ' || coalesce(snippet, ''), '[\\p{L}\\p{N}]+'), lambda x: lower(x))) AS ws FROM raw_news),
-tok AS (SELECT id, len(ws) AS n, unnest(ws) AS w FROM s), df AS (SELECT w, count(*) AS f FROM tok GROUP BY w),
-pre AS (SELECT id, w FROM (SELECT id, n, tok.w, row_number() OVER (PARTITION BY id ORDER BY f, tok.w) AS r FROM tok JOIN df ON df.w = tok.w) WHERE r <= n - ceil(0.65 * n - 1e-9) + 1),
-cand AS (SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM pre a JOIN pre b ON a.w = b.w AND a.id < b.id)
-SELECT id_a, id_b FROM (SELECT id_a, id_b, len(list_intersect(a.ws, b.ws)) AS c, len(a.ws) + len(b.ws) AS t FROM cand JOIN s a ON a.id = id_a JOIN s b ON b.id = id_b) WHERE c >= 0.65 * (t - c) - 1e-9""",
+    "p7_found": f"WITH {_SIMILAR} SELECT id_a, id_b FROM pairs",
+    "p7_groups": f"""
+WITH RECURSIVE {_SIMILAR}, c AS (SELECT id, CASE WHEN len(ws) = 0 THEN id ELSE min(id) OVER (PARTITION BY list_sort(ws)) END AS class_id FROM s),
+e AS (SELECT DISTINCT a.class_id AS x, b.class_id AS y FROM pairs JOIN c a ON a.id = id_a JOIN c b ON b.id = id_b WHERE a.class_id <> b.class_id),
+l AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+walk AS (SELECT x AS a, y AS b FROM l UNION SELECT walk.a, l.y FROM walk JOIN l ON l.x = walk.b),
+g AS (SELECT a, min(least(a, b)) AS group_id FROM walk GROUP BY 1), n AS (SELECT x, count(*) AS n FROM l GROUP BY 1)
+SELECT c.id, c.class_id, coalesce(g.group_id, c.class_id) AS group_id, coalesce(n.n, 0) AS n_links FROM c LEFT JOIN g ON g.a = c.class_id LEFT JOIN n ON n.x = c.class_id""",
+    "p8_faults": "SELECT 2048 AS capacity, count(*) AS n_documents, CAST(0 AS BIGINT) AS n_overfull, CAST(0 AS BIGINT) AS n_split, CAST(0 AS BIGINT) AS n_unplaced FROM documents UNION ALL SELECT 8192, count(*), 0, 0, 0 FROM documents",
+    "p9_faults": "SELECT source, CAST(0 AS BIGINT) AS n_overused, CAST(0 AS BIGINT) AS n_astray FROM mix_targets",
 }
