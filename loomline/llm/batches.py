@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm.wordsets import candidate_pairs, graded_words, sketch_entries, split_lists, verify_pairs, with_words
+from loomline.llm.wordsets import candidate_pairs, graded_words, list_entries, sketch_entries, split_lists, verify_pairs, with_words
 from loomline.runtime import freed_shuffles, plain_unions, scratch_path, shuffle_width, stage_table, staging
 
 OVERLAP = 0.8
@@ -335,9 +335,9 @@ def _admit(store: FingerprintStore, records: DataFrame, overlap: float) -> DataF
     if initial:
         store.fix_grades(graded_words(sets))
     # list entries are made again where they are read: that costs less than their room
-    plain = sketch_entries(sets, overlap, store.grades, block=None)
+    plain = sketch_entries(sets, overlap, store.grades)
     known_sets, known_addresses, looked_up = (store._none(t) for t in ("sets", "addresses", "entries"))
-    every = sketch_entries(sets, overlap, store.grades) if initial else plain
+    every = list_entries(sets, overlap, store.grades) if initial else plain
     if store.generations:
         addresses = rows.where("u IS NOT NULL").select("u").distinct()
         positive = stage_table(store.possible(stage_table(fingerprints(addresses, sets, plain), "prints")), "positive")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.wordsets import candidate_pairs, distinct_sets, most_frequent, nodes_and_counts, sketch_entries, verify_pairs, with_words
+from loomline.llm.wordsets import candidate_pairs, distinct_sets, list_entries, most_frequent, sets_and_counts, verify_pairs
 from loomline.runtime import stage_table
 
 THRESHOLD = 0.65
@@ -15,10 +15,9 @@ def id_and_text(records: DataFrame, id_column: str, text: Column) -> DataFrame:
     return records.select(F.col(id_column).cast("bigint").alias("id"), text.alias("text"))
 
 
-def similar_nodes(texts: DataFrame, counts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``a, b, similarity`` (a < b): every pair of different word sets of ``id, text`` at or above the threshold, each once. ``counts``: partial counts of words."""
-    sets = with_words(texts, "text", ["id"]).where("node IS NOT NULL")
-    pairs = stage_table(candidate_pairs(sketch_entries(sets, threshold, most_frequent(counts)), threshold), "pairs")
+def similar_nodes(sets: DataFrame, counts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``a, b, similarity`` (a < b): every pair of different word sets of ``node, words`` (staged) at or above the threshold, each once. ``counts``: partial counts of words."""
+    pairs = stage_table(candidate_pairs(list_entries(sets, threshold, most_frequent(counts)), threshold), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     return verify_pairs(pairs, distinct_sets(sets.join(wanted, "node", "left_semi").select("node", "words")), threshold)
 
@@ -51,8 +50,9 @@ def near_duplicate_pairs(records: DataFrame, id_column: str, text: Column, thres
     taken whole. An empty table gives no rows; other columns are ignored.
     """
     texts = id_and_text(records, id_column, text)
-    members, counts = nodes_and_counts(texts, "text")
-    similar = similar_nodes(texts, counts, threshold)
+    members, counts = sets_and_counts(texts, "text")
+    similar = similar_nodes(members, counts, threshold)
+    members = members.select("node", "id")
     at = lambda x, name: members.select(F.col("node").alias(x), F.col("id").alias(name))
     across = similar.select("a", "b").join(at("a", "i"), "a").join(at("b", "j"), "b").select("i", "j")
     # copies: only classes of two or more are joined with themselves
@@ -69,10 +69,11 @@ def near_duplicate_groups(records: DataFrame, id_column: str, text: Column, thre
     n_links: similar classes with other words.
     """
     texts = id_and_text(records, id_column, text)
-    members, counts = nodes_and_counts(texts, "text")
+    sets, counts = sets_and_counts(texts, "text")
+    members = sets.select("node", "id")
     classes = members.groupBy("node").agg(F.min("id").alias("class_id"))
     named = lambda x: classes.select(F.col("node").alias(x), F.col("class_id").alias(f"c{x}"))
-    pairs = stage_table(similar_nodes(texts, counts, threshold).join(named("a"), "a").join(named("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")), "links")
+    pairs = stage_table(similar_nodes(sets, counts, threshold).join(named("a"), "a").join(named("b"), "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")), "links")
     groups = connected_groups(pairs)
     degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     known = members.join(classes, "node").select("id", "class_id")

@@ -4,9 +4,11 @@ A set's words get one 64-bit value each: the high bits grade how frequent the wo
 frequent ``GRADED`` words, which are counted over all records), the low bits are its hash. Two sets of n and m words with
 Jaccard similarity t or more share a word among the ``n - ceil(t n) + 1`` and ``m - ceil(t m) + 1`` smallest
 values; those bottom-k sketches are all that the inverted lists hold, so no similar pair is lost, and lists of
-rare words come first. A 128-bit parity sketch of the union's two sides travels along: the number of bits in which
+rare words come first. The list of a frequent word would hold a fixed part of all sets and its comparisons would grow with the square, so a word counted more than
+``HOT`` times has no list of its own: two similar sets that meet there first share a second value among one more of the smallest, and lists are kept
+for these pairs of values. A 128-bit parity sketch of the union's two sides travels along: the number of bits in which
 two parity sketches differ never exceeds the symmetric difference, so it discards unlike pairs without losing like ones.
-What is left is verified on the full sets. Lists longer than ``LIST_BLOCK`` are split in blocks and
+What is left is verified on the full sets. Lists that are longer than ``LIST_BLOCK`` all the same are counted before and split in blocks;
 every pair of blocks is compared once, each in a task of bounded size.
 """
 
@@ -29,6 +31,8 @@ from loomline.runtime import shuffle_width, stage_table
 #: Words that get a grade of their own, at most; the table of them is broadcast (16 bytes each).
 GRADED = 1 << 17
 LIST_BLOCK = 8192
+#: Records with a word from which on its list is replaced by those of its pairs.
+HOT = 4096
 #: Nodes remembered per task, so that copies of one set leave the task once.
 REMEMBERED = 200_000
 #: Rows of a block compared at once: a matrix of that many squared bits counts is in memory.
@@ -97,19 +101,21 @@ def with_words(records: DataFrame, text: str, keep: list[str], words: bool = Tru
     return records.select(*keep, text).mapInArrow(run, schema)
 
 
-def nodes_and_counts(records: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """``id, node`` of every record (``id bigint``) with a word, and ``w, c``: the records with each word, batch by batch. One pass, staged."""
+def sets_and_counts(records: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """``id, node, words`` of every record (``id bigint``) with a word, and ``w, c``: the records with each word, batch by batch. One pass, staged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            flat, _, node = _hashed(batch.column(1), hashes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.nulls(len(node), pa.int64()), pa.nulls(len(node), pa.int64())], ["id", "node", "w", "c"])
+            flat, start, node = _hashed(batch.column(1), hashes)
+            words = pa.ListArray.from_arrays(pa.array(start.astype(np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), node, words, pa.nulls(len(node), pa.int64()), pa.nulls(len(node), pa.int64())], ["id", "node", "words", "w", "c"])
             w, c = np.unique(flat, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(w), pa.int64()), pa.nulls(len(w), pa.int64()), pa.array(w), pa.array(c)], ["id", "node", "w", "c"])
+            none = pa.nulls(len(w), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(w), words.type), pa.array(w), pa.array(c)], ["id", "node", "words", "w", "c"])
 
-    both = stage_table(records.select("id", text).mapInArrow(run, "id bigint, node bigint, w bigint, c bigint"), "words")
-    return both.where("node IS NOT NULL").select("node", "id"), both.where("c IS NOT NULL").select("w", "c")
+    both = stage_table(records.select("id", text).mapInArrow(run, "id bigint, node bigint, words array<bigint>, w bigint, c bigint"), "words")
+    return both.where("node IS NOT NULL").select("node", "id", "words"), both.where("c IS NOT NULL").select("w", "c")
 
 
 def _batch_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +156,13 @@ def _values(hashes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[
     return (np.minimum(count, (1 << 22) - 1) << 40) | ((hashes.view(np.uint64) >> np.uint64(24)).astype(np.int64)), count
 
 
-def sketch_entries(sets: DataFrame, threshold: float, grades: tuple[np.ndarray, np.ndarray], old: bool = False, block: int | None = LIST_BLOCK) -> DataFrame:
-    """The entries of the inverted lists for ``node, words``: one for each retained value, more for lists that ``grades`` tell to be longer than ``block`` (None: never)."""
+def sketch_entries(sets: DataFrame, threshold: float, grades: tuple[np.ndarray, np.ndarray], old: bool = False, only_pairs: bool = False, hot: int | None = None) -> DataFrame:
+    """The entries of the inverted lists for ``node, words``: one for each retained value, or, of words that ``grades`` count more than ``HOT`` times, for each pair of values.
+
+    Sets that may be similar to another one over a single word keep the frequent word's own entry too. ``only_pairs``: the entries of pairs alone.
+    """
     shared = sets.sparkSession.sparkContext.broadcast(grades)
+    limit = HOT if hot is None else hot
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = shared.value
@@ -179,17 +189,25 @@ def sketch_entries(sets: DataFrame, threshold: float, grades: tuple[np.ndarray,
             s2[filled] = np.bitwise_xor.reduceat(np.where(low, np.uint64(0), bit), start[filled])
             value, count = _values(hashes, words, counts)
             order = np.lexsort((value, row))
+            value, frequent = value[order], count[order] > limit
             pos = np.arange(len(row)) - start[row]
-            keep = pos <= (n - np.ceil(threshold * n - 1e-9).astype(np.int64))[row]
-            at = order[keep]
-            r, key, pos = row[at], value[at], pos[keep]
-            pieces = np.maximum(1, -(-count[at] // block)) if block else np.ones(len(at), np.int64)
-            times = np.where(pieces > 1, pieces, 1)
-            own = (nodes[r].view(np.uint64) >> np.uint64(33)).astype(np.int64) % pieces
-            other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            own, r, key, pos = (np.repeat(x, times) for x in (own, r, key, pos))
+            shared_least = np.ceil(threshold * n - 1e-9).astype(np.int64)  # words in common with any similar set
+            last = n - shared_least  # position of the last value that is retained
+            keep = pos <= last[row]
+            one = np.flatnonzero(keep & (~frequent | (shared_least[row] < 2)))
+            if only_pairs:
+                one = one[:0]
+            # the second value in common is at most one place further on
+            i = np.flatnonzero(keep & frequent)
+            more = np.minimum(last[row[i]] + 1, n[row[i]] - 1) - pos[i]
+            i, at = np.repeat(i, more), np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+            j = i + 1 + at
+            with np.errstate(over="ignore"):
+                pair = _mixed(value[i].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + value[j].view(np.uint64)).view(np.int64)
+            r, key, place = np.concatenate([row[one], row[i]]), np.concatenate([value[one], pair]), np.concatenate([pos[one], pos[j] - 1])
+            none = pa.array(np.zeros(len(r), np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(np.minimum(own, other).astype(np.int32)), pa.array(np.maximum(own, other).astype(np.int32)), pa.array((own > other).astype(np.int32)), pa.array(nodes[r]), pa.array(n[r].astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(s1[r].view(np.int64)), pa.array(s2[r].view(np.int64)), pa.array(np.full(len(r), old))],
+                [pa.array(key), none, none, none, pa.array(nodes[r]), pa.array(n[r].astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(s1[r].view(np.int64)), pa.array(s2[r].view(np.int64)), pa.array(np.full(len(r), old))],
                 ["key", "g", "h", "side", "node", "n", "pos", "s1", "s2", "old"],
             )
 
@@ -281,13 +299,14 @@ def _list_pairs(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator
     yield from close()
 
 
-def split_lists(entries: DataFrame, block: int | None = None) -> DataFrame:
-    """``entries`` (made with ``block=None``) with the lists that are now longer than ``block`` cut in blocks, every pair of blocks once.
+def split_lists(entries: DataFrame, counted: DataFrame | None = None, block: int | None = None) -> DataFrame:
+    """``entries`` with the lists that are longer than ``block`` cut in blocks, every pair of blocks once.
 
-    Lengths are counted over the entries given, whatever they were when older ones were stored. A task's share of a list is two blocks at most.
+    Lengths are counted over ``counted`` (by default all entries; enough of them to hold every list that may be long), whatever they were when
+    older ones were stored. A task's share of a list is two blocks at most.
     """
     block = block or LIST_BLOCK
-    hot = stage_table(entries.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > block).select("key", F.ceil(F.col("c") / block).cast("int").alias("k")), "hot")
+    hot = stage_table((entries if counted is None else counted).groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > block).select("key", F.ceil(F.col("c") / block).cast("int").alias("k")), "hot")
     n = hot.count()
     if not n:
         return entries
@@ -297,6 +316,17 @@ def split_lists(entries: DataFrame, block: int | None = None) -> DataFrame:
     return cut.withColumns({"g": g, "h": h, "side": side}).select(*entries.columns)
 
 
+def list_entries(sets: DataFrame, threshold: float, grades: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """The entries for sets that ``grades`` were counted over, long lists split.
+
+    A word's own list is no longer than ``HOT`` if its count is known, so only the lists of pairs are counted; all are if there are more frequent words than ``grades`` holds.
+    """
+    every = sketch_entries(sets, threshold, grades)
+    words, counts = grades
+    known = len(words) == 0 or counts.min() <= HOT
+    return split_lists(every, sketch_entries(sets, threshold, grades, only_pairs=True) if known else None)
+
+
 def candidate_pairs(entries: DataFrame, threshold: float) -> DataFrame:
     """``a, b, overlap``: nodes (a < b) whose sketches allow the similarity, with the number of lists they met in."""
     width = shuffle_width(entries.sparkSession, entries)

@@ -39,11 +39,12 @@ def texts(n, seed):
 EDGE = [None, "", " ", "—!", "a", "A a a", "İstanbul x", "Ⅷ ² ½", "word " * 20_000, "x", "X"]
 
 
-@pytest.mark.parametrize("block", [8192, 4])
-def test_pairs_against_all_pairs(spark, monkeypatch, block):
-    """Split lists (block 4) give the same pairs as whole ones."""
+@pytest.mark.parametrize("block,hot,graded", [(8192, 4096, 1 << 17), (4, 4096, 1 << 17), (8192, 5, 1 << 17), (3, 2, 1 << 17), (4, 2, 4)])
+def test_pairs_against_all_pairs(spark, monkeypatch, block, hot, graded):
+    """Split lists, lists of pairs of frequent words, and more frequent words than are counted give the same pairs."""
     monkeypatch.setattr(wordsets, "LIST_BLOCK", block)
-    monkeypatch.setattr(wordsets.sketch_entries, "__defaults__", (False, block))
+    monkeypatch.setattr(wordsets, "HOT", hot)
+    monkeypatch.setattr(wordsets.most_frequent, "__defaults__", (graded,))
     rows = list(enumerate(texts(150, 3) + EDGE))
     df = spark.createDataFrame(rows, "id bigint, text string").withColumn("node", F.lit("clash"))
     got = [(r["id_a"], r["id_b"]) for r in near_duplicate_pairs(df, "id", F.col("text")).collect()]
@@ -61,6 +62,17 @@ def test_long_lists_are_compared_in_tiles(spark, monkeypatch):
     assert got == {(i, j) for i in sets for j in sets if i < j and jaccard(sets[i], sets[j]) >= 0.65}
 
 
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8])
+def test_pairs_at_other_thresholds(spark, monkeypatch, threshold):
+    """Low thresholds let tiny sets be similar over one word; frequent ones must not hide that."""
+    monkeypatch.setattr(wordsets, "HOT", 3)
+    random.seed(2)
+    rows = list(enumerate([" ".join(random.sample("abcdefgh", random.randrange(1, 5))) for _ in range(90)]))
+    got = {(r["id_a"], r["id_b"]) for r in near_duplicate_pairs(spark.createDataFrame(rows, "id bigint, text string"), "id", F.col("text"), threshold).collect()}
+    sets = {i: words(t) for i, t in rows}
+    assert got == {(i, j) for i in sets for j in sets if i < j and jaccard(sets[i], sets[j]) >= threshold}
+
+
 def test_groups(spark):
     rows = [(1, "a b c d e f g h"), (2, "a b c d e f g x"), (3, "a b c d e f y x"), (4, "h g f e d c b a"), (5, "z"), (6, None)]
     got = {r["id"]: (r["class_id"], r["group_id"], r["n_links"]) for r in near_duplicate_groups(spark.createDataFrame(rows, "id bigint, text string"), "id", F.col("text")).collect()}
