@@ -32,7 +32,7 @@ from loomline.runtime import shuffle_width, stage_table
 GRADED = 1 << 17
 LIST_BLOCK = 8192
 #: Records with a word from which on its list is replaced by those of its pairs.
-HOT = 4096
+HOT = 1 << 15
 #: Nodes remembered per task, so that copies of one set leave the task once.
 REMEMBERED = 200_000
 #: Rows of a block compared at once: a matrix of that many squared bits counts is in memory.
