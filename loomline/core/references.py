@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from loomline.runtime import shuffle_width
 
+#: Parents per range, as a power of two.
 RANGE_BITS = 14
 #: A range is split only if it has more references than this.
 LEAST_HOT = 200_000
@@ -63,9 +64,31 @@ def _references(specs: list[ReferenceSpec]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where(F.col("ref_key").isNotNull())
 
 
-def _hot_ranges(references: DataFrame, width: int, bits: int, least: int) -> dict[tuple[int, int], int]:
+def _range_bits(specs: list[ReferenceSpec]) -> list[int]:
+    """For each key space the width of its ranges (as a power of two) at which the densest hundredth of its parents has about 2^``RANGE_BITS`` of them in each.
+
+    Consecutive numbers get ranges of that width; keys scattered over a wide domain get wider ones.
+    """
+    bits = []
+    for spec in specs:
+        keys = spec.parents.where(F.col("key").isNotNull()).select(F.col("key").cast("bigint").alias("key"))
+        borders, n = keys.agg(F.percentile_approx("key", [k / 100 for k in range(101)], 1000), F.count("*")).first()
+        steps = [b - a for a, b in zip(borders or [], (borders or [])[1:], strict=False) if b > a]
+        spread = min(steps) / (n / 100) if steps else 1  # distance of neighbours
+        bits.append(min(48, max(RANGE_BITS, RANGE_BITS + math.floor(math.log2(max(1, spread))))))
+    return bits
+
+
+def _range(space, key, bits: list[int]):
+    out = F.shiftright(key, bits[0])
+    for s, b in enumerate(bits[1:], 1):
+        out = F.when(space == s, F.shiftright(key, b)).otherwise(out)
+    return out
+
+
+def _hot_ranges(references: DataFrame, width: int, bits: list[int], least: int) -> dict[tuple[int, int], int]:
     """Pieces for each range that holds more than twice a partition's fair share; fewer than ``width`` such ranges exist."""
-    counts = references.groupBy("space", F.shiftright("ref_key", bits).alias("range")).agg(F.count("*").alias("n"))
+    counts = references.groupBy("space", _range(F.col("space"), F.col("ref_key"), bits).alias("range")).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     fair = max(least, 2 * total // width)
     return {(r["space"], r["range"]): math.ceil(r["n"] / fair) for r in counts.where(F.col("n") > fair).collect()}
@@ -123,7 +146,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def dangling_references(spark: SparkSession, specs: list[ReferenceSpec], range_bits: int = RANGE_BITS, least_hot: int = LEAST_HOT) -> DataFrame:
+def dangling_references(spark: SparkSession, specs: list[ReferenceSpec], range_bits: int | None = None, least_hot: int = LEAST_HOT) -> DataFrame:
     """``ref_table, record_id, ref_key, ref_time, ref_state``: each distinct reference with a fault.
 
     ``late``: the key exists but its earliest time is after the referring record's. ``deleted``: no such key,
@@ -131,10 +154,11 @@ def dangling_references(spark: SparkSession, specs: list[ReferenceSpec], range_b
     nothing is late. Parents repeated in full count once; a repeated reference comes out once. Empty tables
     give no rows, or only ``deleted``/``missing``. Other columns of the inputs are ignored.
     """
-    width = shuffle_width(spark)
+    width = shuffle_width(spark, *(df for s in specs for df in (s.references, s.parents)))
     references = _references(specs)
-    hot = _hot_ranges(references, width, range_bits, least_hot)
-    key_range = lambda c: F.shiftright(F.col(c), range_bits)
+    bits = _range_bits(specs) if range_bits is None else [range_bits] * len(specs)
+    hot = _hot_ranges(references, width, bits, least_hot)
+    key_range = lambda c: _range(F.col("space"), F.col(c), bits)
     parents = _parents(specs).withColumn("range", key_range("key"))
     parents = parents.select(
         "space", "range", F.explode(F.sequence(F.lit(0), _pieces(F.col("space"), F.col("range"), hot) - 1)).alias("piece"),

@@ -254,11 +254,6 @@ def section_blocks(spark: SparkSession, d: str) -> DataFrame:
     return blocks.select("doc_id", "block", "title", F.length("text").alias("n_text"), F.size("links").alias("n_links"))
 
 
-def message_parts(spark: SparkSession, d: str) -> DataFrame:
-    parts = _t(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.posexplode(report.messages("text")).alias("part", "message"))
-    return parts.select("doc_id", "part", F.length("message").alias("n"))
-
-
 def report_digest(spark: SparkSession, d: str) -> DataFrame:
     t = _t(spark, d, "topics").select(F.col("id").alias("topic_id"), F.coalesce("category", F.lit("Uncategorized")).alias("category"), "topic_title")
     rows = report.topic_articles(_t(spark, d, "topics"), _t(spark, d, "processed_news"), _t(spark, d, "raw_news")).join(t, "topic_id")
@@ -331,7 +326,7 @@ QUERIES = {
         title_dedup_representatives, title_dedup_stats, removed_to_kept_map, incremental_group_antijoin, unprocessed_antijoin, url_normalize_dedup, url_title_dedup,
         keyword_drop_reasons, keyword_drop_stats, publisher_functions, valid_titles, language_split, keep_recent_articles, kst_day_buckets, processed_raw_join, topic_articles, topics_ordered,
         decision_days, source_rollup, source_count_pivot, two_pass_work_list, reason_subjects, label_replay, upsert_last_title_wins, decision_update, deferred_delete, waterfall_feed_limit,
-        primary_fallback_topk, topic_publisher_quota, section_selection_topk, newline_agg, newline_roundtrip, citation_expand, section_blocks, message_parts, report_digest, fuzzy_components,
+        primary_fallback_topk, topic_publisher_quota, section_selection_topk, newline_agg, newline_roundtrip, citation_expand, section_blocks, report_digest, fuzzy_components,
         fuzzy_representatives, greedy_curate, pruned_topics, weighted_centroid, anchor_pick, kmeans_by_label, daily_source_window, order_status_rollup, nation_revenue,
     )
 }

@@ -15,6 +15,7 @@ from loomline.plans.catalog import _ARTICLES, _PIVOT, _WS, _norm, _or, _rank, _s
 from loomline.runtime import scratch_path
 from loomline.sources import sinks, tables
 from loomline.sources.outlets import OUTLETS
+from loomline.streaming import distinct_articles, each_batch, follow_parquet, sessions, windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -260,11 +261,7 @@ def label_batches(spark: SparkSession, d: str) -> DataFrame:
 _KNOWN = ", ".join(_sql(c) for c, _ in dims.CATEGORIES)
 
 
-@query(f"SELECT CASE WHEN llm_category = 'Noise' OR (llm_category IS NULL) THEN 'DROP' WHEN llm_decision = 'KEEP' AND llm_category NOT IN ({_KNOWN}) THEN 'ERROR' ELSE llm_decision END AS decision, count(*) AS n FROM (SELECT DISTINCT ON (id) * FROM processed_news WHERE llm_decision IN ('KEEP', 'DROP')) GROUP BY 1")
-def label_decisions(spark: SparkSession, d: str) -> DataFrame:
-    from loomline.plans.catalog import label_replay
-
-    return label_replay(spark, d)
+ORACLE["label_replay"] = f"SELECT CASE WHEN llm_category = 'Noise' OR (llm_category IS NULL) THEN 'DROP' WHEN llm_decision = 'KEEP' AND llm_category NOT IN ({_KNOWN}) THEN 'ERROR' ELSE llm_decision END AS decision, count(*) AS n FROM (SELECT DISTINCT ON (id) * FROM processed_news WHERE llm_decision IN ('KEEP', 'DROP')) GROUP BY 1"
 
 
 @query("SELECT coalesce(nullif(llm_category, ''), 'Uncategorized') AS category, language, count(*) AS n FROM (SELECT DISTINCT * FROM processed_news) GROUP BY 1, 2")
@@ -278,13 +275,11 @@ def payload_counts(spark: SparkSession, d: str) -> DataFrame:
     return report.payload_counts(_t(spark, d, "topics"))
 
 
-@query("""
+ORACLE["anchor_pick"] = """
 WITH v AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL),
 c AS (SELECT label, list(m ORDER BY d) AS c FROM (SELECT label, d, avg(x) AS m FROM (SELECT label, unnest(e) AS x, unnest(range(len(e))) AS d FROM v) GROUP BY 1, 2) GROUP BY 1),
 s AS (SELECT v.label, vec_id, 1 - list_cosine_similarity(e, c) AS x FROM v JOIN c ON c.label = v.label)
-SELECT label, arg_min(vec_id, x) AS id, round(min(x), 5) AS distance, count(*) AS n FROM s GROUP BY 1""")
-def anchor_nearest(spark: SparkSession, d: str) -> DataFrame:
-    return vectors.anchors(_t(spark, d, "embeddings"), "label", "vec_id").select("label", "id", F.round("distance", 5).alias("distance"), "n")
+SELECT label, arg_min(vec_id, x) AS id, round(min(x), 5) AS distance, count(*) AS n FROM s GROUP BY 1"""
 
 
 @query("SELECT label AS cluster, vec_id AS id, CAST(k AS INT) AS pick_number FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id DESC) AS k FROM embeddings) WHERE k <= 15")
@@ -313,17 +308,13 @@ def protected_rows(spark: SparkSession, d: str) -> DataFrame:
 _REF = "string_split_regex(text, '\\[Ref:\\s*[0-9,\\s]+\\]')"
 
 
-@query(f"""
+ORACLE["citation_expand"] = f"""
 WITH t AS (SELECT id AS section, list_filter(news_ids, lambda x: x IS NOT NULL) AS ids FROM topics),
 art AS (SELECT p.id, coalesce(r.title, '') AS title, coalesce(r.url, '') AS url, coalesce(r.publisher, '') AS publisher FROM (SELECT DISTINCT id, ref_raw_id FROM processed_news) p JOIN raw_news r ON r.id = p.ref_raw_id),
 c AS (SELECT section, unnest(ids) AS id, unnest(range(len(ids))) AS k FROM t),
 n AS (SELECT c.section, k, '\n> • [' || title || '](' || url || ') - (' || publisher || ')' AS line, row_number() OVER (PARTITION BY c.section ORDER BY k) AS r FROM c JOIN art ON art.id = c.id),
 l AS (SELECT section, string_agg(line, '' ORDER BY k) AS links FROM n WHERE r <= 5 GROUP BY 1)
-SELECT t.section, 'Summary ' || CASE WHEN len(ids) > 0 THEN coalesce(links, '') ELSE '[Ref: ]' END || ' end ' AS text FROM t LEFT JOIN l ON l.section = t.section""".replace("\n> •", "' || chr(10) || '> •"))
-def citations_expanded(spark: SparkSession, d: str) -> DataFrame:
-    from loomline.plans.catalog import citation_expand
-
-    return citation_expand(spark, d)
+SELECT t.section, 'Summary ' || CASE WHEN len(ids) > 0 THEN coalesce(links, '') ELSE '[Ref: ]' END || ' end ' AS text FROM t LEFT JOIN l ON l.section = t.section""".replace("\n> •", "' || chr(10) || '> •")
 
 
 _LINES = """
@@ -333,14 +324,10 @@ marks AS (SELECT *, lag(kind) OVER (PARTITION BY doc_id ORDER BY pos) AS before
 blocks AS (SELECT *, sum(CASE WHEN kind = 'header' OR (kind = 'text' AND before = 'link') OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS block FROM marks)"""
 
 
-@query(f"""
+ORACLE["section_blocks"] = f"""
 WITH {_LINES}
 SELECT doc_id, CAST(block AS INT) AS block, regexp_replace(coalesce(string_agg(trim(line, ' '), ' ' ORDER BY pos) FILTER (WHERE kind = 'header'), ''), '^#+\\s*|\\*\\*', '', 'g') AS title,
-  length(coalesce(string_agg(trim(line, ' '), chr(10) ORDER BY pos) FILTER (WHERE kind = 'text'), '')) AS n_text, CAST(count(*) FILTER (WHERE kind = 'link') AS INT) AS n_links FROM blocks GROUP BY doc_id, block""")
-def blocks_of_documents(spark: SparkSession, d: str) -> DataFrame:
-    from loomline.plans.catalog import section_blocks
-
-    return section_blocks(spark, d)
+  length(coalesce(string_agg(trim(line, ' '), chr(10) ORDER BY pos) FILTER (WHERE kind = 'text'), '')) AS n_text, CAST(count(*) FILTER (WHERE kind = 'link') AS INT) AS n_links FROM blocks GROUP BY doc_id, block"""
 
 
 @query("""
@@ -393,14 +380,10 @@ def messages_split(spark: SparkSession, d: str) -> DataFrame:
 _ESC = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
-@query(f"""WITH {_ARTICLES}, a AS (SELECT topic_id, ord, coalesce(r.url, '') AS url, coalesce(arts.title, '') AS title, arts.publisher, row_number() OVER (PARTITION BY topic_id ORDER BY ord) AS k FROM arts JOIN (SELECT DISTINCT id, ref_raw_id FROM processed_news) p ON p.id = arts.id JOIN raw_news r ON r.id = p.ref_raw_id),
+ORACLE["report_digest"] = f"""WITH {_ARTICLES}, a AS (SELECT topic_id, ord, coalesce(r.url, '') AS url, coalesce(arts.title, '') AS title, arts.publisher, row_number() OVER (PARTITION BY topic_id ORDER BY ord) AS k FROM arts JOIN (SELECT DISTINCT id, ref_raw_id FROM processed_news) p ON p.id = arts.id JOIN raw_news r ON r.id = p.ref_raw_id),
 i AS (SELECT topic_id, string_agg('<li><a href="' || url || '">' || {_ESC.format('title')} || '</a> (' || coalesce({_ESC.format('publisher')}, '') || ')</li>', '' ORDER BY ord) AS items FROM a WHERE k <= 6 GROUP BY 1),
 t AS (SELECT id, coalesce(category, 'Uncategorized') AS category, '<h3>' || {_ESC.format('topic_title')} || '</h3><ul>' || items || '</ul>' AS h FROM topics JOIN i ON i.topic_id = id)
-SELECT category, '<h2>' || CASE """ + " ".join(f"WHEN category = '{c}' THEN '{n}'" for c, n in dims.CATEGORIES) + """ ELSE category END || '</h2>' || coalesce(string_agg(h, '' ORDER BY id), '') AS html FROM t GROUP BY category""")
-def digests(spark: SparkSession, d: str) -> DataFrame:
-    from loomline.plans.catalog import report_digest
-
-    return report_digest(spark, d)
+SELECT category, '<h2>' || CASE """ + " ".join(f"WHEN category = '{c}' THEN '{n}'" for c, n in dims.CATEGORIES) + """ ELSE category END || '</h2>' || coalesce(string_agg(h, '' ORDER BY id), '') AS html FROM t GROUP BY category"""
 
 
 @query(f"""WITH {_ARTICLES}, l AS (SELECT topic_id, string_agg('- ' || coalesce(title, '') || ' (' || coalesce(publisher, '') || ')', chr(10) ORDER BY ord) AS links FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY ord) AS k FROM arts) WHERE k <= 2 GROUP BY 1)
@@ -500,6 +483,42 @@ SELECT event_type, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", coun
 
 @query(_SESSIONS)
 def event_sessions(spark: SparkSession, d: str) -> DataFrame:
-    from loomline.streaming import sessions
+
 
     return sessions(_t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type").withColumns({"start": F.col("start").cast("timestamp_ntz"), "end": F.col("end").cast("timestamp_ntz")})
+
+
+def _streamed(spark: SparkSession, d: str, table: str, transform: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A table read as a stream, taken through ``transform`` to the end, and what came out of it as a table."""
+    # a folder whose only data are those of the table
+    source, out, marks = (scratch_path(spark, n) for n in ("source", "sink", "marks"))
+    rows = _t(spark, d, table)
+    rows.write.parquet(source)
+    stream = transform(follow_parquet(spark, source, rows.schema))
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query("SELECT start, event_type, n FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, (SELECT max(ts) FROM events) AS last FROM events GROUP BY 1, 2) WHERE start + INTERVAL 1 HOUR <= last - INTERVAL 1 HOUR")
+def streamed_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Counts per hour of a stream: windows that the watermark has passed are final and come out."""
+    out = _streamed(spark, d, "events", lambda s: windowed_counts(s.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type"))
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query(f"SELECT count(DISTINCT coalesce(nullif(regexp_replace(lower(regexp_replace(url, '[?#].*$', '')), '/$', ''), ''), {_norm('title')})) AS n FROM raw_news WHERE coalesce(url, title) IS NOT NULL")
+def streamed_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """Articles of a stream, the first of each address; the watermark here keeps all of them in mind."""
+    out = _streamed(spark, d, "raw_news", lambda s: distinct_articles(s.where("coalesce(url, title) IS NOT NULL").select("id", "url", "title", "created_at"), "created_at", "2000 days"))
+    return out.agg(F.count("*").alias("n"))
+
+
+@query("SELECT source, count(*) AS n FROM raw_news GROUP BY 1")
+def micro_batches(spark: SparkSession, d: str) -> DataFrame:
+    """A batch transform run on every micro-batch, each written under its number."""
+    source, out = scratch_path(spark, "source"), scratch_path(spark, "batches")
+    _t(spark, d, "raw_news").select("id", "source").write.parquet(source)
+    stream = follow_parquet(spark, source, "id bigint, source string")
+    count = lambda df: df.groupBy("source").agg(F.count("*").alias("n"))
+    each_batch(stream, count, lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"), scratch_path(spark, "marks")).awaitTermination()
+    return spark.read.schema("source string, n bigint, batch int").parquet(out).groupBy("source").agg(F.sum("n").alias("n"))

@@ -1,5 +1,7 @@
 from datetime import datetime as dt
 
+from pyspark.sql import functions as F
+
 from loomline.core.references import ReferenceSpec, dangling_references, dangling_report
 
 T1, T2, T3 = dt(2026, 1, 1), dt(2026, 1, 2), dt(2026, 2, 3)
@@ -43,3 +45,18 @@ def test_report_counts_by_month(spark):
     s = spec(spark, [(1, 10, T1), (1, 11, T1), (2, 11, T3), (3, 12, None)], [], [])
     rows = {(r["period"], r["ref_state"]): (r["n_references"], r["n_records"], r["n_keys"]) for r in dangling_report(dangling_references(spark, [s])).collect()}
     assert rows == {("2026-01", "missing"): (2, 1, 2), ("2026-02", "missing"): (1, 1, 1), (None, "missing"): (1, 1, 1)}
+
+
+def test_scattered_keys_share_ranges(spark):
+    """Keys that are hashes of numbers lie far apart: ranges widen so that each still holds many parents; an outlier changes nothing."""
+    from loomline.core import references as r
+
+    parents = spark.range(200_000).select(F.xxhash64("id").alias("key"), F.lit(None).cast("timestamp").alias("time"))
+    refs = spark.range(1000).select(F.col("id").alias("record_id"), F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.xxhash64("id")).alias("ref_key"), F.lit(None).cast("timestamp").alias("ref_time"))
+    none = spark.createDataFrame([], "key bigint")
+    spec = r.ReferenceSpec("t", refs, parents, none)
+    assert 44 <= r._range_bits([spec])[0] <= 48
+    assert sorted(x["ref_key"] for x in r.dangling_references(spark, [spec]).collect()) == [k for k in range(0, 1000, 10)]
+    dense = spark.range(100_000).select(F.col("id").alias("key"), F.lit(None).cast("timestamp").alias("time")).union(spark.createDataFrame([(1 << 60, None)], "key bigint, time timestamp"))
+    assert r._range_bits([r.ReferenceSpec("t", refs, dense, none)]) == [r.RANGE_BITS]
+    assert r._range_bits([r.ReferenceSpec("t", refs, parents.limit(0), none)]) == [r.RANGE_BITS]
