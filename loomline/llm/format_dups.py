@@ -68,7 +68,7 @@ def equal_runs(keyed: DataFrame) -> DataFrame:
 
     Equal keys are compared in full. A repeated id is a copy like any other. An empty table gives no rows.
     """
-    width = shuffle_width(keyed.sparkSession)
+    width = shuffle_width(keyed.sparkSession, keyed)
     laid = keyed.select("id", "key").repartitionByRange(width, "key", "id").sortWithinPartitions("key", "id")
     runs = stage_table(laid.mapInArrow(_scan, _RUNS), "runs")
     # one row per partition: whether its first run began in an earlier one
@@ -97,5 +97,6 @@ def collapse(records: DataFrame, id_column: str = "id", title_column: str = "tit
     NULL, blank and punctuation-only titles are no headlines and give no row. Titles are taken whole.
     """
     copies = headline_groups(records, id_column, title_column).groupBy("first_id").agg(F.count("*").alias("n_copies"))
-    texts = records.select(F.col(id_column).cast("bigint").alias("first_id"), F.col(title_column).alias("title")).dropDuplicates(["first_id"])
-    return copies.join(texts, "first_id").select(F.col("first_id").alias("id"), "title", "n_copies")
+    texts = records.select(F.col(id_column).cast("bigint").alias("first_id"), F.col(title_column).alias("title"))
+    # repeated ids go after the join, where only the first ids are left and nothing is shuffled again
+    return copies.join(texts, "first_id").dropDuplicates(["first_id"]).select(F.col("first_id").alias("id"), "title", "n_copies")
