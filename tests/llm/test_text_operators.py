@@ -367,3 +367,5 @@ def test_mined_terms(spark):
     assert {"verdict", "plaintiff", "소송"} <= terms["law"] and "소송이" not in terms["law"] and not {"people", "said", "there"} & set().union(*terms.values())
     held = calibration(documents, known, source=source).where("chosen AND part = 'held'").first()
     assert held["f1"] > 0.95
+    none = mine_terms(documents, known.limit(0))
+    assert json.loads(none) == {} and calibration(documents, known, source=none).where("n_assigned > 0").count() == 0
