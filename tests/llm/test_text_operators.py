@@ -347,6 +347,24 @@ def test_calibration_weighs_terms_by_all_documents(spark):
     assert calibration(documents.limit(0), labels).count() == 0
 
 
+def test_every_labelled_document_counts(spark, monkeypatch):
+    """More labelled documents than any sample: all of them are calibrated on and mined, in parts if they are many."""
+    import json
+
+    from loomline.llm import subjects
+
+    n = 24_000
+    documents = spark.range(n).selectExpr("id AS doc_id", "concat('The striker saw the quokka', char(97 + id % 26), '.') AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "'sport' AS subject")
+    rows = subjects.calibration(documents, labels).groupBy("share", "density").agg(F.sum("n_true").alias("n")).collect()
+    assert len(rows) == len(subjects.SHARES) * len(subjects.DENSITIES) and {r["n"] for r in rows} == {n}
+    fit = documents.where("pmod(xxhash64(doc_id, 17), 2) = 0").count()
+    assert fit > 11_000
+    monkeypatch.setattr(subjects, "HELD", 5)
+    assert "striker" in json.loads(subjects.mine_terms(documents, labels, support=fit))["sport"]["any"]
+    assert json.loads(subjects.mine_terms(documents, labels, support=fit + 1)) == {}
+
+
 def test_mined_terms(spark):
     """Words that go with a subject are found from labels and solve documents that had no say."""
     import json
